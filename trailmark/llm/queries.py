@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import pack
 from .shared import table
 from .token_counts import count_tokens
 
@@ -14,8 +15,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit", "cut_byte")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_token_counts,)}
+    return {f.__name__: f for f in (op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
