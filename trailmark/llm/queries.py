@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .mixing import mix
 from .packing import pack
 from .shared import table
 from .token_counts import count_tokens
@@ -15,13 +17,41 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit", "cut_byte")
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6)).drop("source")
+
+
+OP8_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(doc_id::VARCHAR) AS k FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w, 3.0::DOUBLE * source_size AS cap FROM totals
+), ordered AS (
+  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before,
+    sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_left, sum(source_size) OVER () AS total FROM weighed
+), level AS (
+  SELECT arg_min((total - cap_before) / w_left, cap / w) FILTER ((total - cap_before) / w_left <= cap / w) AS x FROM ordered
+), goals AS (
+  SELECT source, source_size, least(cap, x * w) AS target, floor(least(cap, x * w) + 0.5)::BIGINT AS goal FROM weighed, level
+), placed AS (
+  SELECT s.*, source_size, target, goal, (sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+  (SELECT sum(greatest(0, least(start + size + e * source_size, goal) - least(start + e * source_size, goal))) FROM range(3) t(e))::BIGINT AS taken
+FROM placed
+"""
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_source_mixing": OP8_SQL}
