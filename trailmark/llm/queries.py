@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .exact_dedup import duplicate_groups
 from .mixing import mix
 from .packing import pack
 from .shared import table
@@ -17,6 +18,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit", "cut_byte")
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_groups(table(spark, sf_dir, "documents")).drop("row")
+
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(length(text), 0) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
+), g AS (
+  SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id FROM t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6)).drop("source")
 
@@ -50,8 +65,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mixing": OP8_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op8_source_mixing": OP8_SQL}
