@@ -2,11 +2,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from trailmark.llm.packing import Lengths, best_fit, dominating, pack, plan_slots, reduce_instance
+from trailmark.llm.arrowtext import text_slices, words
+from trailmark.llm.packing import Lengths, best_fit, dominating, pack, plan_slots, reduce_instance, split_points, word_ids
 from trailmark.llm.shared import tokenizer_path
 
 
@@ -79,6 +81,20 @@ def test_dominating_sets():
     assert dominating(Lengths({2: 1, 1: 20}), 2, 10) is None
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from(" \n'stREve.,<|>endoftxé—Σ1\u0301"), st.characters(exclude_categories=["Cs"])), max_size=30), max_size=4))
+def test_ids_equal_encoding_each_text(texts):
+    texts = [*texts, "A.<|endoftext|>,b it's,x"] if len(texts) % 2 else texts
+    cache = word_ids("word_bpe_49k.json")
+    for low, high, data, offsets in text_slices(pa.array(texts, pa.string())):
+        starts, ends, bounds = words(data, offsets, split_points(data))
+        where, lengths = cache.lookup(data, starts, ends)
+        for k in range(low, high):
+            own = slice(bounds[k - low], bounds[k - low + 1])
+            got = [x for s, n in zip(where[own], lengths[own], strict=True) for x in cache.ids[s : s + n].tolist()]
+            assert got == cache.tokenizer.encode(texts[k], add_special_tokens=False).ids
+
+
 def test_pack_round_trip(spark):
     tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     texts = ["Hello, World's 12 x", None, "", " \n ", "ΣΑΣ é <|endoftext|>a", "w " * 9000, "Hello, World's 12 x"] + [f"text number {i} " * (i % 50) for i in range(60)]

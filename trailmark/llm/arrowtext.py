@@ -76,8 +76,11 @@ def text_slices(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int,
         low = high
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and for each document the index of its first word (one more at the end)."""
+def words(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and for each document the index of its first word (one more at the end).
+
+    Where ``cut`` is true, a word is parted before that byte.
+    """
     n = data.size
     solid = ~SPACE[data]
     if not n:
@@ -87,6 +90,9 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1] | edge[1:n]
     last[:-1] &= ~solid[1:] | edge[1:n]
+    if cut is not None:
+        first |= cut
+        last[:-1] |= cut[1:]
     starts = np.flatnonzero(first)
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,22 +21,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrowtext import ragged, span_hashes, text_slices, words
+from .arrowtext import CODE, FOLD, ragged, span_hashes, text_slices, words
 from .shared import stage, tokenizer_path
 
+#: Bytes between which the tokenizer always splits: ASCII letters, and punctuation that takes no part in its contractions and special tokens.
+LETTER, PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
+PUNCTUATION[[*b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]] = True
+
 Pattern = tuple[tuple[int, int], ...]
 
 
 class WordIds:
     """Token ids of words, kept from batch to batch; emptied beyond ``most`` words.
 
-    The tokenizer splits at white space and drops it, so a text's ids are those of its words in turn.
+    The tokenizer splits at white space and drops it, so a text's ids are those of its words in
+    turn. New words are encoded many at a time with a special token between them.
     """
 
-    def __init__(self, tokenizer: str, most: int = 400_000):
+    def __init__(self, tokenizer: str, most: int = 2_000_000, marker: str = "<|startoftext|>"):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(tokenizer))
+        self.marker, self.marker_id = marker, self.tokenizer.token_to_id(marker)
         self.most = most
         self._clear()
 
@@ -43,37 +51,67 @@ class WordIds:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and their number for each text."""
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        run: list[str] = []
+        for text in [*texts, None]:
+            alone = text is None or "<|" in text
+            if run and (alone or len(run) == 500):
+                found = np.array(self.tokenizer.encode(self.marker.join(run), add_special_tokens=False).ids, np.uint32)
+                ends = np.append(np.flatnonzero(found == self.marker_id), found.size)
+                lengths.append(np.diff(ends, prepend=-1) - 1)
+                ids.append(found[found != self.marker_id])
+                run = []
+            if alone and text is not None:
+                ids.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+                lengths.append(np.array([ids[-1].size]))
+            elif text is not None:
+                run.append(text)
+        return np.concatenate(ids), np.concatenate(lengths)
+
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each word, where its ids begin in ``self.ids``, and how many they are."""
         if self.keys.size > self.most:
             self._clear()
-        keys, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        new = np.flatnonzero(~np.isin(keys, self.keys, assume_unique=True))
+        codes = CODE if b"<|" in data.tobytes() else FOLD  # case matters only in special tokens
+        keys, first, back = np.unique(span_hashes(data, starts, ends, codes), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(place == self.keys.size) if not self.keys.size else np.flatnonzero(self.keys[np.minimum(place, self.keys.size - 1)] != keys)
         if new.size:
-            texts = [data[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(starts[first[new]], ends[first[new]], strict=True)]
-            found = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            lengths = np.array([len(x) for x in found], np.int64)
+            ids, lengths = self.encode([data[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(starts[first[new]], ends[first[new]], strict=True)])
             begins = self.ids.size + np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-            self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
-            self.starts, self.lengths = np.concatenate([self.starts, begins]), np.concatenate([self.lengths, lengths])
-            merged, rows = np.concatenate([self.keys, keys[new]]), np.concatenate([self.rows, np.arange(self.rows.size, self.starts.size)])
-            order = np.argsort(merged)
-            self.keys, self.rows = merged[order], rows[order]
+            self.keys = np.insert(self.keys, place[new], keys[new])
+            self.rows = np.insert(self.rows, place[new], np.arange(self.starts.size, self.starts.size + new.size))
+            self.ids, self.starts, self.lengths = (np.concatenate(x) for x in ((self.ids, ids), (self.starts, begins), (self.lengths, lengths)))
         rows = self.rows[np.searchsorted(self.keys, keys)][back]
         return self.starts[rows], self.lengths[rows]
 
 
+def split_points(data: np.ndarray) -> np.ndarray:
+    """Where a letter meets punctuation, so that a word with and without it shares its ids."""
+    letter, mark = LETTER[data], PUNCTUATION[data]
+    cut = np.zeros(data.size, bool)
+    cut[1:] = letter[:-1] & mark[1:] | mark[:-1] & letter[1:]
+    return cut
+
+
+@lru_cache(maxsize=2)
+def word_ids(tokenizer: str) -> WordIds:
+    """One for all tasks of a worker."""
+    return WordIds(tokenizer)
+
+
 def cut_pieces(docs: DataFrame, *, tokenizer: str = "word_bpe_49k.json", capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32."""
     names = ("doc_id", "piece", "start", "length", "ids_crc32")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = None
+        cache = word_ids(tokenizer)
         for batch in batches:
-            cache = cache or WordIds(tokenizer)
             ids = batch.column(0).cast(pa.int64())
-            for low, high, data, offsets in text_slices(batch.column(1), 1_000_000):
-                starts, ends, bounds = words(data, offsets)
+            for low, high, data, offsets in text_slices(batch.column(1)):
+                starts, ends, bounds = words(data, offsets, split_points(data))
                 where, lengths = cache.lookup(data, starts, ends)
                 flat = cache.ids[ragged(where, lengths)].astype("<u4")
                 sums = np.concatenate([[0], np.cumsum(lengths)])[bounds]
