@@ -45,9 +45,9 @@ def with_repeats(df: DataFrame) -> DataFrame:
     df = df.withColumn("windows", F.when(F.size("hashes") > WINDOW, window).otherwise(F.array().cast("array<long>")))
     # only a document with a repeated window needs its places: neighbours in the order of (window, place)
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
-    df = df.withColumn("placed", F.when(repeats, F.array_sort(F.transform("windows", lambda w, i: F.struct(w.alias("window"), i.alias("at"))))))
+    df = df.withColumn("placed", F.when(repeats, F.sort_array(F.transform("windows", lambda w, i: F.struct(w.alias("window"), i.alias("at"))))))
     couples = F.filter(F.zip_with(*pairs_of("placed"), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"]["window"] == p["b"]["window"])
-    df = df.withColumn("places", F.when(F.col("placed").isNotNull(), F.array_sort(F.array_distinct(F.flatten(F.transform(couples, lambda p: F.array(p["a"]["at"], p["b"]["at"])))))))
+    df = df.withColumn("places", F.when(F.col("placed").isNotNull(), F.sort_array(F.array_distinct(F.flatten(F.transform(couples, lambda p: F.array(p["a"]["at"], p["b"]["at"])))))))
     steps = F.zip_with(*pairs_of("places"), lambda a, b: F.least(b - a, F.lit(WINDOW)))
     covered = F.aggregate(steps, F.lit(WINDOW).cast("long"), lambda total, x: total + x)
     return df.select(*kept, F.coalesce(F.when(F.col("places").isNotNull(), covered), F.lit(0)).cast("long").alias("n_repeat_words"))
