@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import duplicate_groups
+from .langid import identify
 from .mixing import mix
 from .ngram_join import near_duplicates
 from .packing import pack
@@ -24,6 +25,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
 
@@ -75,7 +80,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join, op5_quality_rules, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op2_ngram_join, op4_language_id, op5_quality_rules, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
