@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import duplicate_groups
 from .langid import identify
+from .line_crf import classify
 from .mixing import mix
 from .ngram_join import near_duplicates
 from .packing import pack
@@ -25,6 +26,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -80,7 +85,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join, op4_language_id, op5_quality_rules, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
