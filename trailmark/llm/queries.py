@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import duplicate_groups
 from .langid import identify
 from .line_crf import classify
+from .line_dedup import without_repeats
 from .mixing import mix
 from .ngram_join import near_duplicates
 from .packing import pack
@@ -38,6 +39,31 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_chunks", "removed_chunks", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
+OP6_SQL = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS body, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents
+), hashed AS (
+  SELECT *, ('0x' || substr(md5(body), 1, 8))::BIGINT AS h FROM line
+), rolled AS (
+  SELECT *, (h + 31 * coalesce(lag(h) OVER w, 0)) % 3 = 0 AS cut FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+), placed AS (
+  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM rolled
+), chunks AS (
+  SELECT doc_id, chunk, count(*) AS lines, string_agg(body, chr(10) ORDER BY n) AS body FROM placed GROUP BY doc_id, chunk
+), judged AS (
+  SELECT *, lines > 1 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS gone FROM chunks
+)
+SELECT doc_id, sum(lines)::BIGINT AS n_lines, count(*) AS n_chunks, count(*) FILTER (gone) AS removed_chunks, coalesce(sum(lines) FILTER (gone), 0)::BIGINT AS removed_lines,
+  sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS text_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents")).drop("row")
 
@@ -85,8 +111,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op6_line_dedup, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op8_source_mixing": OP8_SQL}
+    return {"op6_line_dedup": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op8_source_mixing": OP8_SQL}
