@@ -55,17 +55,23 @@ def corpus(seed, n=260):
     return rows + [(n, None), (n + 1, "  \n"), (n + 2, "One two"), (n + 3, "one TWO"), (n + 4, "É"), (n + 5, "é")]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hashes", [4, 0])
+@pytest.mark.parametrize(("seed", "hashes"), [(1, 4), (2, 0)])
 def test_components_equal_brute_force(spark, seed, hashes, monkeypatch):
     if not hashes:  # without first links, all of them come from the prefix join
-        monkeypatch.setattr(ngram_join, "first_blocks", lambda heads: heads.selectExpr("doc_id AS block", "doc_id"))
+        monkeypatch.setattr(ngram_join, "first_blocks", lambda heads: (heads.selectExpr("doc_id AS block", "doc_id"), heads.selectExpr("doc_id", *(f"0L AS met_{i}" for i in range(4)))))
     rows = corpus(seed)
     got = near_duplicates(spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, component string, n int")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
     assert len(got) == len(rows)
 
 
+def test_small_blocks_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    rows = corpus(3)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
 def test_odd_rows(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).count() == 0

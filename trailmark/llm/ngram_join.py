@@ -11,8 +11,8 @@ subtree when its remaining length can't reach the overlap that is needed.
    Equal sets become one class, standing by its smallest doc_id.
 2. *First links*: classes with a common min-hash meet in blocks of bounded size. Every link found
    is exact; this only joins the large groups of near copies before the next step.
-3. *Prefix join*: prefix n-grams that classes of several components share; the trees give the
-   candidates among classes of different components, which is every link that is missing.
+3. *Prefix join*: prefix n-grams that are shared by classes of different components that no block
+   has compared yet; the trees give the candidates among them, which is every link that is missing.
 4. Candidates are compared on their whole sets, and the components follow from all links.
 """
 
@@ -237,14 +237,20 @@ def verified(blocks: DataFrame, docs: DataFrame, order: Order, k: int) -> DataFr
     return rows.repartition("block").sortWithinPartitions("block", "doc_id").mapInArrow(lambda batches: by_block(batches, work), "a long, b long")
 
 
-def first_blocks(classes: DataFrame) -> DataFrame:
-    """Blocks of classes with a common min-hash. A group that another min-hash has already brought together is left out."""
+def first_blocks(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of classes with a common min-hash, and for each class the min-hashes whose whole group is one block.
+
+    A group that another min-hash has already brought together gets no block of its own.
+    """
     keyed = stage(classes.select("doc_id", F.explode("keys").alias("key")), "keyed")
     groups = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("first"), F.bit_xor(F.xxhash64("doc_id")).alias("members"))
-    groups = groups.where("size > 1").groupBy("size", "first", "members").agg(F.min("key").alias("key"))
-    groups = stage(groups.select("key", F.ceil(F.col("size") / BLOCK).alias("parts")), "groups")
-    dealt = keyed.join(groups, "key").withColumn("part", F.pmod(F.xxhash64("doc_id", "key"), F.col("parts")))
-    return dealt.select(F.xxhash64("key", "part").alias("block"), "doc_id")
+    groups = stage(groups.where("size > 1"), "groups")
+    chosen = groups.groupBy("size", "first", "members").agg(F.min("key").alias("key"))
+    chosen = stage(chosen.select("key", F.ceil(F.col("size") / BLOCK).alias("parts")), "chosen")
+    dealt = keyed.join(chosen, "key").withColumn("part", F.pmod(F.xxhash64("doc_id", "key"), F.col("parts")))
+    met = keyed.join(groups.where(F.col("size") <= BLOCK).select("key"), "key").groupBy("doc_id")
+    met = met.agg(*(F.max(F.when(F.pmod("key", F.lit(MIN_HASHES)) == i, F.col("key"))).alias(f"met_{i}") for i in range(MIN_HASHES)))
+    return dealt.select(F.xxhash64("key", "part").alias("block"), "doc_id"), met
 
 
 def prefix_rows(docs: DataFrame, order: Order, k: int) -> DataFrame:
@@ -268,13 +274,44 @@ def prefix_rows(docs: DataFrame, order: Order, k: int) -> DataFrame:
     return docs.mapInArrow(run, "token long, doc_id long, n long")
 
 
-def shared_tokens(rows: DataFrame, owner: str) -> DataFrame:
-    """Rows whose ``token`` more than one ``owner`` has."""
+def shared_tokens(rows: DataFrame) -> DataFrame:
+    """Rows whose ``token`` more than one document has."""
     of_token = Window.partitionBy("token")
-    both = rows.withColumn("least", F.min(owner).over(of_token)).withColumn("most", F.max(owner).over(of_token))
+    both = rows.withColumn("least", F.min("doc_id").over(of_token)).withColumn("most", F.max("doc_id").over(of_token))
     return both.where("least <> most").drop("least", "most")
 
 
+def open_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a document whose ``token`` another one has that it may be similar to and wasn't compared with.
+
+    ``rows``: token, doc_id, n, component, and ``met_0``... (the min-hashes whose whole group was one
+    block). Two documents of one component, or with a common ``met`` column, need no comparison.
+    In a group of more than 64 all rows stay.
+    """
+    met = [f"met_{i}" for i in range(MIN_HASHES)]
+
+    def work(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        token, size, owner, *keys = (block.column(c).to_numpy() for c in ("token", "n", "component", *met))
+        edges = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        count = np.diff(np.append(edges, token.size))
+        keep = np.repeat(count > 64, count)
+        for many in np.unique(count[(count > 1) & (count <= 64)]):
+            starts = edges[count == many]
+            for at in range(0, starts.size, max(1, 2_000_000 // many**2)):  # all groups of a size at once
+                rows_of = starts[at : at + max(1, 2_000_000 // many**2), None] + np.arange(many)
+                pair = lambda x, rows_of=rows_of: (x[rows_of][:, :, None], x[rows_of][:, None, :])
+                (a, b), (n, m) = pair(owner), pair(size)
+                todo = (a != b) & (3 * n <= 4 * m) & (3 * m <= 4 * n)
+                for key in keys:
+                    a, b = pair(key)
+                    todo &= (a != b) | (a == 0)
+                keep[rows_of] = todo.any(2)
+        yield from block.filter(pa.array(keep)).select(["token", "doc_id", "n", "component"]).combine_chunks().to_batches()
+
+    ordered = rows.select("token", "doc_id", "n", "component", *met).repartition("token").sortWithinPartitions("token")
+    return ordered.mapInArrow(lambda batches: by_block(batches, work), "token long, doc_id long, n long, component long")
+
+
 def tree_candidates(rows: DataFrame) -> DataFrame:
     """Pairs ``a`` < ``b`` of different components that may be similar. ``rows``: token, doc_id, component, n, path (its tokens).
 
@@ -330,12 +367,14 @@ def near_duplicates(docs: DataFrame, *, k: int = 5) -> DataFrame:
     same = ["print_a", "print_b", "n"]
     classes = stage(own.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "classes")
     heads = classes.where("first IS NOT NULL").select(F.col("first").alias("doc_id"), "keys")
-    links = stage(verified(stage(first_blocks(heads), "blocks"), docs, order, k), "links")
+    blocks, met = first_blocks(heads)
+    links = stage(verified(stage(blocks, "blocks"), docs, order, k), "links")
     joined = components(links).withColumnRenamed("node", "doc_id")
-    owners = stage(heads.select("doc_id").distinct().join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "owners")
+    owners = heads.select("doc_id").distinct().join(joined, "doc_id", "left").join(met, "doc_id", "left")
+    owners = stage(owners.select("doc_id", F.coalesce("component", "doc_id").alias("component"), *(F.coalesce(c, F.lit(0)).alias(c) for c in met.columns[1:])), "owners")
 
-    rows = stage(shared_tokens(prefix_rows(docs, order, k), "doc_id"), "prefixes")
-    rows = stage(shared_tokens(rows.join(owners, "doc_id"), "component"), "prefixes")
+    rows = stage(shared_tokens(prefix_rows(docs, order, k)), "prefixes")
+    rows = stage(open_rows(rows.join(owners, "doc_id")), "open")
     paths = rows.groupBy("doc_id", "component", "n").agg(F.collect_list("token").alias("path"))
     pairs = stage(tree_candidates(paths.select(F.explode("path").alias("token"), "doc_id", "component", "n", "path")).distinct(), "pairs")
     more = stage(verified(stage(pair_blocks(pairs), "blocks"), docs, order, k), "links")

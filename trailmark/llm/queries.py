@@ -16,6 +16,7 @@ from .ngram_join import near_duplicates
 from .packing import pack
 from .quality_rules import judge
 from .shared import table
+from .substring_dedup import repeated_passages
 from .token_counts import count_tokens
 
 
@@ -23,6 +24,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit", "cut_byte")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -111,7 +116,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op6_line_dedup, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op6_line_dedup, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
