@@ -1,17 +1,75 @@
-"""The corpus pipeline: stages over documents, each a thin call of an operator."""
+"""The corpus pipeline: stages over documents, each one an operator of ``trailmark.llm``.
+
+Every stage works on all rows that the one before kept and returns the columns of ``documents``
+(but the last, which returns packed pieces). :func:`run` applies them one behind the other; a
+caller that writes each stage's result and reads it again gets the same rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trailmark.llm.exact_dedup import duplicate_groups
+from trailmark.llm.mixing import mix
+from trailmark.llm.ngram_join import near_duplicates
+from trailmark.llm.packing import pack
+from trailmark.llm.quality_rules import judge
+from trailmark.llm.shared import stage, table
+
+
+def _columns(docs: DataFrame) -> list[str]:
+    return [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns]
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with an id of ``ids``."""
+    return docs.join(stage(ids.select(F.col("doc_id").alias("kept_id")).distinct(), "kept"), F.col("doc_id") == F.col("kept_id"), "left_semi").select(*_columns(docs))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the n-gram ratio reject go."""
+    return _only(docs, judge(docs, table(spark, sf_dir, "labels")).where("kept"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays."""
+    return _only(docs, duplicate_groups(docs).where("kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar texts stays: its smallest doc_id."""
+    return _only(docs, near_duplicates(docs).where("doc_id = component_id"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as often as the mix takes their words: ``taken / size``, rounded, and once at least if any are taken."""
+    taken = stage(mix(docs).where("taken > 0").select(F.col("doc_id").alias("taken_id"), F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")), "taken")
+    repeated = docs.join(taken, F.col("doc_id") == F.col("taken_id")).withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    return repeated.select(*_columns(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces in sequences of at most 4,096 tokens."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("mixing sources to target weights", source_mix),
+    ("best-fit packing", packing),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: Hashed n-gram ratios and tokenizers have no SQL; tests/llm/test_pipeline.py compares with a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
