@@ -53,16 +53,25 @@ class _Reader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.udp = options.get("protocol", "tcp") == "udp"
         self.most = int(options.get("maxPacketsPerTrigger", "8"))
-        self.socket = socket.socket(socket.AF_INET, socket.SOCK_DGRAM if self.udp else socket.SOCK_STREAM)
-        self.socket.setsockopt(socket.SOL_SOCKET, socket.SO_REUSEADDR, 1)
-        self.socket.bind((options.get("host", "127.0.0.1"), int(options["port"])))
-        self.socket.setblocking(False)
-        if not self.udp:
-            self.socket.listen(1)
-        self.client, self.raw = None, b""
+        self.address = (options.get("host", "127.0.0.1"), int(options["port"]))
+        self.socket, self.client, self.raw = None, None, b""
         self.packets: dict[int, str] = {}
         self.next = 0
 
+    def _listen(self) -> None:
+        """Only the process that polls holds the port; Spark makes other readers that don't."""
+        if self.socket is None:
+            self.socket = socket.socket(socket.AF_INET, socket.SOCK_DGRAM if self.udp else socket.SOCK_STREAM)
+            self.socket.setsockopt(socket.SOL_SOCKET, socket.SO_REUSEADDR, 1)
+            self.socket.bind(self.address)
+            self.socket.setblocking(False)
+            if not self.udp:
+                self.socket.listen(1)
+
+    def __getstate__(self) -> dict:
+        """What goes to tasks: the port stays with the process that holds it."""
+        return {"packets": self.packets}
+
     def initialOffset(self) -> dict:  # noqa: N802
         return {"n": 0}
 
@@ -71,6 +80,7 @@ class _Reader(SimpleDataSourceStreamReader):
         self.next += 1
 
     def _poll(self) -> None:
+        self._listen()
         if self.udp:
             while select.select([self.socket], [], [], 0)[0]:
                 self._add(self.socket.recv(65535).decode("utf-8", "replace"))
