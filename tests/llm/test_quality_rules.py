@@ -38,7 +38,7 @@ def brute(spark, rows, good, buckets, threshold):
     grams = {i: [hashed[w] % buckets for w in ws] + [of[hashed[a], hashed[b]] % buckets for a, b in zip(ws, ws[1:], strict=False)] for i, ws in words.items()}
     raw = Counter(g for gs in grams.values() for g in gs)
     target = Counter(g for i, gs in grams.items() if i in good for g in gs)
-    ratio = {g: round(math.log((target[g] + 1) / (sum(target.values()) + buckets) / ((raw[g] + 1) / (sum(raw.values()) + buckets))) * 1e6) for g in raw}
+    ratio = {g: round(math.log((target[g] + 4.0) / (raw[g] * (sum(target.values()) / sum(raw.values())) + 4.0)) * 1e6) for g in raw}
     out = {}
     for i, t in rows:
         n, *_, repeats = base(t)

@@ -233,7 +233,7 @@ def verified(blocks: DataFrame, docs: DataFrame, order: Order, k: int) -> DataFr
                 b.append(ids[low + j])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    rows = packed(docs).join(blocks, "doc_id").select("block", "doc_id", "body")
+    rows = packed(docs).join(blocks.hint("merge"), "doc_id").select("block", "doc_id", "body")
     return rows.repartition("block").sortWithinPartitions("block", "doc_id").mapInArrow(lambda batches: by_block(batches, work), "a long, b long")
 
 
@@ -284,31 +284,38 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
 def open_rows(rows: DataFrame) -> DataFrame:
     """Rows of a document whose ``token`` another one has that it may be similar to and wasn't compared with.
 
-    ``rows``: token, doc_id, n, component, and ``met_0``... (the min-hashes whose whole group was one
-    block). Two documents of one component, or with a common ``met`` column, need no comparison.
-    In a group of more than 64 all rows stay.
+    ``rows``: token, doc_id, n, component, ``shared`` (prefix members that any other document has)
+    and ``met_0``... (the min-hashes whose whole group was one block). Two documents need no
+    comparison if they are of one component, have a common ``met`` column, or can't reach the
+    overlap with the prefix members that they share at most. In a group of over 2,000 all rows stay.
     """
     met = [f"met_{i}" for i in range(MIN_HASHES)]
 
     def work(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, size, owner, *keys = (block.column(c).to_numpy() for c in ("token", "n", "component", *met))
+        token, size, shared, owner, *keys = (block.column(c).to_numpy() for c in ("token", "n", "shared", "component", *met))
+        beyond = size - (size - (3 * size + 3) // 4 + 1)
         edges = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
         count = np.diff(np.append(edges, token.size))
-        keep = np.repeat(count > 64, count)
-        for many in np.unique(count[(count > 1) & (count <= 64)]):
+        keep = np.repeat(count > 2000, count)
+
+        def feasible(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            todo = (owner[i] != owner[j]) & (3 * size[i] <= 4 * size[j]) & (3 * size[j] <= 4 * size[i])
+            todo &= np.minimum(shared[i], shared[j]) + np.maximum(beyond[i], beyond[j]) >= -(-3 * (size[i] + size[j]) // 7)
+            for key in keys:
+                todo &= (key[i] != key[j]) | (key[i] == 0)
+            return todo
+
+        for many in np.unique(count[(count > 1) & (count <= 2000)]):
             starts = edges[count == many]
-            for at in range(0, starts.size, max(1, 2_000_000 // many**2)):  # all groups of a size at once
-                rows_of = starts[at : at + max(1, 2_000_000 // many**2), None] + np.arange(many)
-                pair = lambda x, rows_of=rows_of: (x[rows_of][:, :, None], x[rows_of][:, None, :])
-                (a, b), (n, m) = pair(owner), pair(size)
-                todo = (a != b) & (3 * n <= 4 * m) & (3 * m <= 4 * n)
-                for key in keys:
-                    a, b = pair(key)
-                    todo &= (a != b) | (a == 0)
-                keep[rows_of] = todo.any(2)
+            together = max(1, 500_000 // many**2)
+            for at in range(0, starts.size, together):  # groups of a size at once
+                members = starts[at : at + together, None] + np.arange(many)
+                for part in range(0, many, max(1, 500_000 // many)):
+                    some = members[:, part : part + max(1, 500_000 // many)]
+                    keep[some] = feasible(some[:, :, None], members[:, None, :]).any(2)
         yield from block.filter(pa.array(keep)).select(["token", "doc_id", "n", "component"]).combine_chunks().to_batches()
 
-    ordered = rows.select("token", "doc_id", "n", "component", *met).repartition("token").sortWithinPartitions("token")
+    ordered = rows.select("token", "doc_id", "n", "shared", "component", *met).repartition("token").sortWithinPartitions("token")
     return ordered.mapInArrow(lambda batches: by_block(batches, work), "token long, doc_id long, n long, component long")
 
 
@@ -374,7 +381,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5) -> DataFrame:
     owners = stage(owners.select("doc_id", F.coalesce("component", "doc_id").alias("component"), *(F.coalesce(c, F.lit(0)).alias(c) for c in met.columns[1:])), "owners")
 
     rows = stage(shared_tokens(prefix_rows(docs, order, k)), "prefixes")
-    rows = stage(open_rows(rows.join(owners, "doc_id")), "open")
+    shared = rows.groupBy("doc_id").agg(F.count("*").alias("shared"))
+    rows = stage(open_rows(rows.join(owners.join(shared, "doc_id"), "doc_id")), "open")
     paths = rows.groupBy("doc_id", "component", "n").agg(F.collect_list("token").alias("path"))
     pairs = stage(tree_candidates(paths.select(F.explode("path").alias("token"), "doc_id", "component", "n", "path")).distinct(), "pairs")
     more = stage(verified(stage(pair_blocks(pairs), "blocks"), docs, order, k), "links")

@@ -15,6 +15,8 @@ from .shared import stage
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 5
+#: N-grams of a bucket that count as seen in the expected share.
+PRIOR = 4.0
 
 
 def pairs_of(items: str) -> tuple[Column, Column]:
@@ -66,7 +68,11 @@ def trusted_ids(labels: DataFrame, most: int) -> DataFrame:
 
 
 def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
-    """``bucket`` and ``ratio``: millionths of ln(p(bucket | trusted) / p(bucket | all)), one more counted in each."""
+    """``bucket`` and ``ratio``: millionths of ln(p(bucket | trusted) / p(bucket | all)).
+
+    Both sides are counts on the scale of the trusted documents, with ``PRIOR`` added to each, so
+    that a bucket of few n-grams has a ratio near 1 in a small corpus as in a large one.
+    """
     words = docs.select(F.col("doc_id").cast("long"), F.transform(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACES), ""), lambda w: F.xxhash64(w)).alias("hashes"))
     flagged = words.join(F.broadcast(trusted), "doc_id", "left")
     each = flagged.select("trusted", F.explode(grams("hashes", buckets)).alias("bucket"))
@@ -74,8 +80,8 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFram
     total = counts.agg(F.sum("everywhere").alias("everywhere"), F.sum("trusted").alias("trusted")).first()
     if not total["trusted"]:
         return counts.select("bucket", F.lit(0).cast("long").alias("ratio"))
-    share = lambda c: (F.col(c) + 1) / F.lit(float(total[c] + buckets))
-    return counts.select("bucket", F.round(F.log(share("trusted") / share("everywhere")) * 1_000_000).cast("long").alias("ratio"))
+    expected = F.col("everywhere") * F.lit(total["trusted"] / total["everywhere"])
+    return counts.select("bucket", F.round(F.log((F.col("trusted") + PRIOR) / (expected + PRIOR)) * 1_000_000).cast("long").alias("ratio"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, buckets: int = 1 << 16, most_trusted: int = 20_000) -> DataFrame:
