@@ -78,10 +78,9 @@ def spherical_means(points: np.ndarray, k: int, rounds: int = 12, seed: int = 7)
     return centres
 
 
-def fit(texts: list[str], langs: list[str], clusters: int = 4) -> Centroids:
+def fit(tf: np.ndarray, langs: list[str], clusters: int = 4) -> Centroids:
     """IDF, centroids, and for each the cosine below which 1 in 200 of its texts lies."""
-    tf = np.vstack([counts(d, o) for _, _, d, o in text_slices(pa.array(texts, pa.string()))]) if texts else np.zeros((0, DIMENSIONS), np.float32)
-    idf = (np.log((1 + len(texts)) / (1 + (tf > 0).sum(0))) + 1).astype(np.float32)
+    idf = (np.log((1 + len(langs)) / (1 + (tf > 0).sum(0))) + 1).astype(np.float32)
     points, names = vectors(tf, idf), sorted(set(langs))
     centres, owner, floor = [np.zeros((0, DIMENSIONS), np.float32)], [], []
     for i, name in enumerate(names):
@@ -99,11 +98,23 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def training_rows(docs: DataFrame, most: int) -> tuple[list[str], list[str]]:
-    """Texts and languages of at most ``most`` documents that aren't held out, the same in each run; texts up to 4,000 characters of training."""
+def training_set(docs: DataFrame, most: int) -> tuple[np.ndarray, list[str]]:
+    """Counts and languages of at most ``most`` documents that aren't held out, the same in each run; a row of numbers a document."""
     rows = docs.where(~F.coalesce(held_out(), F.lit(True)) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").select(F.substring("text", 1, 4000).alias("text"), "lang").limit(most).collect()
-    return [r["text"] for r in rows], [r["lang"] for r in rows]
+    rows = rows.select(F.col("doc_id").cast("long"), "lang")
+    chosen = rows.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "lang").limit(most).select("doc_id").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_slices(batch.column(1), 200_000):
+                tf = counts(data, offsets)
+                body = pa.array([row.tobytes() for row in tf], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), body], names=["doc_id", "lang", "tf"])
+
+    known = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
+    found = known.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, tf binary").collect()
+    found.sort(key=lambda r: (r["doc_id"], r["lang"], r["tf"]))
+    return np.array([np.frombuffer(r["tf"], np.float32) for r in found]).reshape(-1, DIMENSIONS), [r["lang"] for r in found]
 
 
 def identify(docs: DataFrame, *, most_training: int = 3000, clusters: int = 4) -> DataFrame:
@@ -116,7 +127,7 @@ def identify(docs: DataFrame, *, most_training: int = 3000, clusters: int = 4) -
     (cosine, 0 to 1; 0 for ``und``), rejected (too far from its centroid, or ``und``). A null doc_id
     is held out as null. Repeated rows are judged each for itself. No rows give no rows.
     """
-    model = fit(*training_rows(docs, most_training), clusters)
+    model = fit(*training_set(docs, most_training), clusters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array([*model.languages, "und"], pa.string())

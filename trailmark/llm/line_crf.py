@@ -176,7 +176,7 @@ def training_set(docs: DataFrame, labels: DataFrame, most: int, most_lines: int)
     return np.vstack([*parts, np.zeros((0, N_FEATURES))]).astype(float), bounds, np.array([r["quality"] for r in found], np.int64)
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, most_training: int = 3000, most_lines: int = 64, threshold: float = 0.3) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, *, most_training: int = 3000, most_lines: int = 1000, threshold: float = 0.3) -> DataFrame:
     """The quality of every whole text.
 
     Input columns: doc_id, text, and labels' doc_id, quality; others are ignored. The weights are

@@ -34,7 +34,7 @@ def repeated_chunks(docs: DataFrame, divisor: int = 3) -> DataFrame:
     """doc_id, text_hash and ``gone``: the places of the document's chunks that came earlier, here or elsewhere."""
     each = chunked(docs, divisor).select("doc_id", "text_hash", F.posexplode("chunks").alias("at", "chunk"))
     several = each.where("chunk.n > 1").select("doc_id", "text_hash", "at", F.col("chunk.body").alias("body"))
-    names = stage(named(several, ["body"]), "chunks")
+    names = stage(named(stage(several, "bodies"), ["body"]), "chunks")  # naming reads the chunks twice
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "at")
     groups = names.groupBy("hash", "tie").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     again = names.join(stage(groups, "groups"), ["hash", "tie"]).where(place != F.col("first"))
