@@ -34,6 +34,8 @@ RANGE_BITS = 16
 MIN_HASHES = 4
 #: Classes that meet in one block at most, give or take the dealing by hash.
 BLOCK = 48
+#: The owner of sets of several components, or of sets that have none; the smallest integer, which no component is.
+MIXED = -(1 << 63)
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -68,26 +70,31 @@ class Order:
 
 
 class Node:
-    __slots__ = ("tokens", "children", "sets", "low", "high", "longest", "beyond")
+    __slots__ = ("tokens", "children", "sets", "low", "high", "longest", "beyond", "owner")
 
     def __init__(self, tokens: np.ndarray):
         self.tokens, self.children, self.sets = tokens, {}, []
         self.low, self.high, self.longest, self.beyond = 1 << 62, 0, 0, 0
+        self.owner: int | None = None  # that of all sets below; MIXED if they have several, or none
 
-    def widen(self, size: int, length: int, beyond: int) -> None:
+    def widen(self, size: int, length: int, beyond: int, owner: int) -> None:
         self.low, self.high = min(self.low, size), max(self.high, size)
         self.longest, self.beyond = max(self.longest, length), max(self.beyond, beyond)
+        self.owner = owner if self.owner in (None, owner) else MIXED
 
 
 class PrefixTree:
-    """Prefixes in the global order. An entry: its prefix, its set's size, members of its set beyond the prefix."""
+    """Prefixes in the global order. An entry: its prefix, its set's size, members of its set beyond the prefix.
+
+    With an ``owner`` (a component), a search leaves out the sets of its own one.
+    """
 
     def __init__(self) -> None:
         self.root = Node(np.zeros(0, U64))
 
-    def insert(self, entry: int, path: np.ndarray, size: int, beyond: int) -> None:
+    def insert(self, entry: int, path: np.ndarray, size: int, beyond: int, owner: int = MIXED) -> None:
         node, rest = self.root, path
-        node.widen(size, path.size, beyond)
+        node.widen(size, path.size, beyond, owner)
         while rest.size:
             child = node.children.get(int(rest[0]))
             if child is None:
@@ -97,26 +104,28 @@ class PrefixTree:
             n = int(differ[0]) if differ.size else n
             if n < child.tokens.size:  # part the edge
                 upper = Node(child.tokens[:n])
-                upper.low, upper.high, upper.longest, upper.beyond = child.low, child.high, child.longest, child.beyond
+                upper.low, upper.high, upper.longest, upper.beyond, upper.owner = child.low, child.high, child.longest, child.beyond, child.owner
                 node.children[int(rest[0])] = upper
                 child.tokens = child.tokens[n:]
                 upper.children[int(child.tokens[0])] = child
                 child = upper
-            child.widen(size, path.size, beyond)
+            child.widen(size, path.size, beyond, owner)
             node, rest = child, rest[n:]
-        node.sets.append((entry, size, path.size, beyond))
+        node.sets.append((entry, size, beyond, owner))
 
-    def search(self, path: np.ndarray, size: int, beyond: int) -> Iterator[int]:
+    def search(self, path: np.ndarray, size: int, beyond: int, owner: int = MIXED) -> Iterator[int]:
         """Entries that may have the overlap that is needed with a set: none that has it is left out."""
         least = (3 * size + 3) // 4
         todo = [(self.root, 0, 0)]
         while todo:
             node, shared, depth = todo.pop()
-            for entry, other, _, other_beyond in node.sets:
+            for entry, other, other_beyond, other_owner in node.sets:
+                if other_owner == owner != MIXED:
+                    continue
                 if 3 * size <= 4 * other and 3 * other <= 4 * size and shared + max(beyond, other_beyond) >= needed(size, other):
                     yield entry
             for child in node.children.values():
-                if 4 * child.high < 3 * size or 3 * child.low > 4 * size:
+                if 4 * child.high < 3 * size or 3 * child.low > 4 * size or child.owner == owner != MIXED:
                     continue
                 at = np.searchsorted(path, child.tokens)
                 hits = int((path[np.minimum(at, path.size - 1)] == child.tokens).sum()) if path.size else 0
@@ -323,7 +332,8 @@ def tree_candidates(rows: DataFrame) -> DataFrame:
     """Pairs ``a`` < ``b`` of different components that may be similar. ``rows``: token, doc_id, component, n, path (its tokens).
 
     A path has the prefix members that other components have too; the rest of a prefix meets nothing.
-    A pair comes from the block of the first token it shares.
+    A pair comes from the block of the first token it shares, so a block's tree holds the paths from
+    its token on: there such a pair has its whole overlap.
     """
 
     def work(block: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -333,14 +343,16 @@ def tree_candidates(rows: DataFrame) -> DataFrame:
         for low, high in zip(edges, np.append(edges[1:], token.size), strict=True):
             paths = [np.sort(np.array(x.as_py(), np.int64).view(U64)) for x in block.column("path").slice(low, high - low)]
             tree, this = PrefixTree(), np.int64(token[low]).view(U64)
-            for i in np.argsort(sizes[low:high], kind="stable"):
-                size = int(sizes[low + i])
+            places = [int(np.searchsorted(path, this)) for path in paths]
+            earlier = [frozenset(path[:at].tolist()) for path, at in zip(paths, places, strict=True)]
+            for i in np.argsort(sizes[low:high], kind="stable").tolist():
+                size, owner, path = int(sizes[low + i]), int(owners[low + i]), paths[i][places[i] :]
                 beyond = size - prefix_length(size)
-                for j in tree.search(paths[i], size, beyond):
-                    if owners[low + i] != owners[low + j] and np.intersect1d(paths[i], paths[j], assume_unique=True)[0] == this:
+                for j in tree.search(path, size, beyond, owner):
+                    if earlier[i].isdisjoint(earlier[j]):
                         a.append(min(ids[low + i], ids[low + j]))
                         b.append(max(ids[low + i], ids[low + j]))
-                tree.insert(int(i), paths[i], size, beyond)
+                tree.insert(i, path, size, beyond, owner)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return rows.repartition("token").sortWithinPartitions("token").mapInArrow(lambda batches: by_block(batches, work), "a long, b long")
