@@ -2,7 +2,8 @@
 
 Every stage works on all rows that the one before kept and returns the columns of ``documents``
 (but the last, which returns packed pieces). :func:`run` applies them one behind the other; a
-caller that writes each stage's result and reads it again gets the same rows.
+caller that writes each stage's result and reads it again gets the same rows. Verdicts are of rows:
+rows that share a doc_id, or have none, are judged each for itself.
 """
 
 from __future__ import annotations
@@ -24,30 +25,43 @@ def _columns(docs: DataFrame) -> list[str]:
     return [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns]
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with an id of ``ids``."""
-    return docs.join(stage(ids.select(F.col("doc_id").alias("kept_id")).distinct(), "kept"), F.col("doc_id") == F.col("kept_id"), "left_semi").select(*_columns(docs))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` and ``row_no``; written, so that a row has one number however often it is read."""
+    return stage(docs.select(*_columns(docs), F.monotonically_increasing_id().alias("row_no")), "numbered")
+
+
+def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose number is a ``row`` of ``rows``."""
+    return docs.join(stage(rows.select(F.col("row").alias("row_no")), "kept"), "row_no", "left_semi").select(*_columns(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the n-gram ratio reject go."""
-    return _only(docs, judge(docs, table(spark, sf_dir, "labels")).where("kept"))
+    """Rows that the base rules or the n-gram ratio reject go, each by its own text."""
+    docs = _numbered(docs)
+    return _only(docs, judge(docs, table(spark, sf_dir, "labels"), row="row_no").where("kept"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
-    return _only(docs, duplicate_groups(docs).where("kept"))
+    """One row of each group of equal texts stays."""
+    docs = _numbered(docs)
+    return _only(docs, duplicate_groups(docs, row="row_no").where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar texts stays: its smallest doc_id."""
-    return _only(docs, near_duplicates(docs).where("doc_id = component_id"))
+    """One row of each component of similar texts stays: that of its smallest doc_id (null behind all others)."""
+    docs = _numbered(docs)
+    near = near_duplicates(docs.select(F.col("row_no").alias("doc_id"), "text")).select(F.col("doc_id").alias("row_no"), "component_id")
+    ids = docs.select("row_no", F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row_no"))
+    return _only(docs, near.join(ids, "row_no").groupBy("component_id").agg(first.alias("first")).select(F.col("first.row_no").alias("row")))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix takes their words: ``taken / size``, rounded, and once at least if any are taken."""
-    taken = stage(mix(docs).where("taken > 0").select(F.col("doc_id").alias("taken_id"), F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")), "taken")
-    repeated = docs.join(taken, F.col("doc_id") == F.col("taken_id")).withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    """Rows come as often as the mix takes their words: ``taken / size``, rounded, and once at least if any are taken."""
+    docs = _numbered(docs)
+    times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")
+    taken = stage(mix(docs, row="row_no").where("taken > 0").select(F.col("row").alias("row_no"), times), "taken")
+    repeated = docs.join(taken, "row_no").withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
     return repeated.select(*_columns(docs))
 
 

@@ -85,3 +85,19 @@ def test_stages_equal_brute_force(spark, sf_dir):
     assert Counter((r.doc_id, r.length) for r in pieces) == Counter({(i, length[i]): n for i, n in times.items()})
     assert len({r.sequence_id for r in pieces}) == -(-sum(r.length for r in pieces) // 4096)
     assert mix(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_and_null_ids(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    a, b, c = text("a"), text("b"), text("c")
+    rows = [(1, a), (1, a), (2, b), (2, "too short"), (None, c), (None, c), (None, "short"), (3, f"{a} end")]
+    schema = "doc_id long, text string, source string, kept_id int, taken_id int, times int, row_no int, row int"
+    frame = lambda rows: spark.createDataFrame([(*r, "s", 1, 1, 1, 1, 1) for r in rows], schema)
+    steps = dict(corpus_pipeline.STAGES)
+    after = lambda name, rows: Counter((r.doc_id, r.text) for r in steps[name](spark, frame(rows), str(tmp_path)).collect())
+    judged = [(1, a), (1, a), (2, b), (None, c), (None, c), (3, f"{a} end")]
+    assert after("quality rules", rows) == Counter(judged)
+    assert after("exact dedup", judged) == Counter([(1, a), (2, b), (None, c), (3, f"{a} end")])
+    assert after("n-gram Jaccard join", judged) == Counter([(1, a), (2, b), (None, c)])
+    assert after("mixing sources to target weights", judged) == Counter(judged)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import stage
+from .shared import row_number, stage
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -71,16 +71,17 @@ def identities(texts: DataFrame, *, block_chars: int) -> DataFrame:
     return out.join(first, "row")
 
 
-def duplicate_groups(docs: DataFrame, *, block_chars: int = 4096) -> DataFrame:
+def duplicate_groups(docs: DataFrame, *, block_chars: int = 4096, row: str | None = None) -> DataFrame:
     """The group of equal texts of every row, and which row of it stays.
 
     Texts are equal when they are without the characters ``[\\x20\\x09-\\x0D]``; null counts as empty.
     Of equal texts the one with most code points stays, then the smallest doc_id. Result, a row for
     each input row: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space).
     Of rows that agree in doc_id and text one is kept. Null ids come last. No rows give no rows.
+    ``row``: the column that numbers the rows, returned as row.
     """
     texts = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), normalised("text").alias("body")
+        row_number(row).alias("row"), F.col("doc_id").cast("long"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), normalised("text").alias("body")
     ).withColumn("text_sha256", F.sha2("body", 256))
     keyed = stage(identities(texts, block_chars=block_chars), "keyed")
     identity = ["n_blocks", "hash", "tie"]

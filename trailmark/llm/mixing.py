@@ -25,13 +25,14 @@ def word_count(text: str) -> F.Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and the shuffled order key; ``slice``, the key's first 10 bits, makes a hot source 1,024 sorts."""
+def sizes(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, size, row if it is named, and the shuffled order key; ``slice``, the key's first 10 bits, makes a hot source 1,024 sorts."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count("text").alias("size"), key.alias("key"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("source_key"),
         F.shiftright(F.conv(F.substring(key, 1, 3), 16, 10).cast("int"), 2).alias("slice"),
+        *([F.col(row).alias("row")] if row else []),
     )
 
 
@@ -110,13 +111,13 @@ def positions(sized: DataFrame) -> DataFrame:
     return sized.withColumn("upto_here", F.sum("size").over(inside)).join(parts, ["source_key", "slice"]).withColumn("start", F.col("base") + F.col("upto_here") - F.col("size")).drop("base", "upto_here")
 
 
-def mixture(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, block_words: int = 256) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mixture(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, block_words: int = 256, row: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sized documents with positions, one row of totals and target a source, and the slots that use document parts.
 
     Sources are mixture components with weights of their own; their totals (one row a source) pass
     through the driver. Documents, blocks and slots don't.
     """
-    sized = stage(sizes(docs), "sizes")
+    sized = stage(sizes(docs, row), "sizes")
     spark = docs.sparkSession
     totals = sorted((r["source_key"], r["n"]) for r in sized.groupBy("source_key").agg(F.sum("size").alias("n")).collect())
     totals = sorted(totals, key=lambda x: (x[0] == "", x[0].encode("utf-8", "surrogatepass")))  # by code point, null last
@@ -135,15 +136,16 @@ def mixture(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: fl
     return placed, sources, used
 
 
-def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, block_words: int = 256) -> DataFrame:
+def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, block_words: int = 256, row: str | None = None) -> DataFrame:
     """Words that the mix takes of each document.
 
     Input columns: doc_id, text, source; others are ignored. Result, a row for each input row:
     doc_id, source, size, source_size, target, taken. Null and empty texts have size 0 and are
     never taken; a null source is a source of its own, behind all others. Rows that repeat a
-    doc_id are taken each for itself. No rows give no rows.
+    doc_id are taken each for itself. No rows give no rows. ``row``: the column that numbers the
+    rows, returned as row.
     """
-    placed, sources, used = mixture(docs, weights=weights, most=most, block_words=block_words)
+    placed, sources, used = mixture(docs, weights=weights, most=most, block_words=block_words, row=row)
     taken = used.groupBy("source_key", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     placed = placed.withColumn("start", F.when(F.col("size") > 0, F.col("start")))  # an empty document begins where the next one does
-    return placed.join(taken, ["source_key", "start"], "left").join(F.broadcast(sources), "source_key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    return placed.join(taken, ["source_key", "start"], "left").join(F.broadcast(sources), "source_key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), *(["row"] if row else []))

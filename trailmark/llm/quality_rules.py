@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import row_number, stage
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -24,10 +24,10 @@ def pairs_of(items: str) -> tuple[Column, Column]:
     return F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0))), F.slice(items, 2, F.greatest(F.size(items), F.lit(1)))
 
 
-def measures(docs: DataFrame) -> DataFrame:
+def measures(docs: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, row, the counts of the base rules, and ``hashes`` of the words."""
     text = F.coalesce("text", F.lit(""))
-    out = docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
+    out = docs.select(F.col("doc_id").cast("long"), row_number(row).alias("row"), text.alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\x0b\x0c\r", "    "))) > 0)
     out = out.select(
         "doc_id", "row",
@@ -84,7 +84,7 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFram
     return counts.select("bucket", F.round(F.log((F.col("trusted") + PRIOR) / (expected + PRIOR)) * 1_000_000).cast("long").alias("ratio"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, buckets: int = 1 << 16, most_trusted: int = 20_000) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, buckets: int = 1 << 16, most_trusted: int = 20_000, row: str | None = None) -> DataFrame:
     """Base rules and the verdict of every document.
 
     Input columns: doc_id, text, and labels' doc_id, quality; others are ignored. The trusted
@@ -93,11 +93,11 @@ def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, bucke
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (under 10 words, or
     over a fifth of them in repeated windows), score (mean ratio; 0 without words), kept
     (score >= threshold, and not base_failed). Null text counts as empty. With no trusted document
-    every score is 0. No rows give no rows.
+    every score is 0. No rows give no rows. ``row``: the column that numbers the rows, returned as row.
     """
     ratios = bucket_ratios(docs, trusted_ids(labels, most_trusted), buckets)
     facts = ["doc_id", "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    each = measures(docs).select(*facts, F.explode_outer(grams("hashes", buckets)).alias("bucket"))
+    each = measures(docs, row).select(*facts, F.explode_outer(grams("hashes", buckets)).alias("bucket"))
     # one row a bucket, so at most ``buckets`` rows
     summed = each.join(F.broadcast(ratios), "bucket", "left").groupBy(*facts).agg(F.sum("ratio").alias("sum"), F.count("bucket").alias("n"))
     score = F.when(F.col("n") > 0, F.col("sum") / F.col("n") / 1_000_000).otherwise(F.lit(0.0))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +33,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_number(column: str | None) -> Column:
+    """A number of its own for each row: that of ``column``, if one is named."""
+    return F.col(column) if column else F.monotonically_increasing_id()
+
+
 def tokenizer_path(name: str) -> str:
     """Resolve a tokenizer file: a path stays as it is, a bare name is looked up on this machine."""
     if "/" in name:
