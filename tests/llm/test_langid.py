@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from trailmark.llm.arrowtext import FOLD, mix, text_slices
-from trailmark.llm.langid import DIMENSIONS, PLAIN, counts, identify
+from trailmark.llm.langid import DIMENSIONS, PLAIN, counts, even_share, identify, training_set
 
 WORDS = {"aa": "the of and to in is with that was for".split(), "bb": "der die und das nicht ist mit für über auf".split(), "cc": "el la de que en los por con niño más".split()}
 
@@ -50,3 +50,12 @@ def test_nothing_to_learn_or_judge(spark):
     schema = "doc_id long, text string, lang string"
     assert identify(spark.createDataFrame([], schema)).count() == 0
     assert identify(spark.createDataFrame([(1, "word", None)], schema)).first().lang_pred == "und"
+
+
+def test_a_rare_language_in_a_skewed_corpus(spark):
+    assert even_share([6, 3000], 100) == 94 and even_share([1, 2], 100) == 2 and even_share([5, 5, 5], 2) == 1 and even_share([], 9) == 9
+    rng = np.random.default_rng(4)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(WORDS[lang], 30)), lang) for i in range(3000) for lang in ["cc" if i % 300 < 2 else "aa"]], "doc_id long, text string, lang string")
+    assert sorted(set(training_set(docs, 40)[1])) == ["aa", "cc"] and len(training_set(docs, 40)[1]) == 40
+    got = identify(docs, most_training=40).collect()
+    assert all(r.lang_pred == ("cc" if r.doc_id % 300 < 2 else "aa") for r in got)

@@ -15,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .arrowtext import FOLD, U64, mix, text_slices
+from .shared import stage
 
 DIMENSIONS = 2048
 #: Bytes of letters, of other alphabets and the space; n-grams with any other byte don't count.
@@ -98,11 +100,38 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def even_share(counts: list[int], most: int) -> int:
+    """The largest number, 1 at least, so that ``most`` rows are enough for that many of each count, or all where there are fewer."""
+    left, share = most, most
+    for i, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if n > share:
+            break
+        left -= n
+        share = max(n, 1)
+    return max(1, share)
+
+
+def drawn(rows: DataFrame, most: int) -> DataFrame:
+    """``doc_id``, ``lang`` of at most an even share of ``most`` rows of each language, the first ones by md5(doc_id).
+
+    Rows are counted by language and by the first digits of the key (a row each), so that only the
+    slices that the share reaches into are ranked, not all rows of a hot language.
+    """
+    rows = rows.withColumn("key", F.md5(F.col("doc_id").cast("string"))).withColumn("slice", F.substring("key", 1, 3))
+    counts = stage(rows.groupBy("lang", "slice").agg(F.count("*").alias("n")), "slices")
+    share = even_share([r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()], most)  # one row a language
+    before = Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    reached = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < share).select("lang", "slice")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
+    return rows.join(reached, ["lang", "slice"], "left_semi").withColumn("rank", rank).where(F.col("rank") <= share).select("doc_id", "lang")
+
+
 def training_set(docs: DataFrame, most: int) -> tuple[np.ndarray, list[str]]:
-    """Counts and languages of at most ``most`` documents that aren't held out, the same in each run; a row of numbers a document."""
+    """Counts and languages of at most ``most`` documents that aren't held out, evenly of each language, the same in each run; a row of numbers a document."""
     rows = docs.where(~F.coalesce(held_out(), F.lit(True)) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.select(F.col("doc_id").cast("long"), "lang")
-    chosen = rows.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "lang").limit(most).select("doc_id").distinct()
+    rows = rows.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"))
+    chosen = drawn(rows, most).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,7 +140,7 @@ def training_set(docs: DataFrame, most: int) -> tuple[np.ndarray, list[str]]:
                 body = pa.array([row.tobytes() for row in tf], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), body], names=["doc_id", "lang", "tf"])
 
-    known = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
+    known = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``most`` ids
     found = known.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, tf binary").collect()
     found.sort(key=lambda r: (r["doc_id"], r["lang"], r["tf"]))
     return np.array([np.frombuffer(r["tf"], np.float32) for r in found]).reshape(-1, DIMENSIONS), [r["lang"] for r in found]
@@ -121,8 +150,9 @@ def identify(docs: DataFrame, *, most_training: int = 3000, clusters: int = 4) -
     """The language of every whole text.
 
     Input columns: doc_id, text, lang; others are ignored. Learned from text and lang of at most
-    ``most_training`` rows that aren't held out (crc32(doc_id as text) mod 5 is not 0); a prediction
-    sees the text alone. Result, a row for each input row: doc_id, held_out, lang_pred (a learned
+    ``most_training`` rows that aren't held out (crc32(doc_id as text) mod 5 is not 0), the same
+    number of each language or all where there are fewer, one at least; a prediction sees the text
+    alone. Result, a row for each input row: doc_id, held_out, lang_pred (a learned
     language; ``und`` for a text that is null or has no letter, or if nothing was learned), score
     (cosine, 0 to 1; 0 for ``und``), rejected (too far from its centroid, or ``und``). A null doc_id
     is held out as null. Repeated rows are judged each for itself. No rows give no rows.
