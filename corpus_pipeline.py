@@ -38,7 +38,8 @@ def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the base rules or the n-gram ratio reject go, each by its own text."""
     docs = _numbered(docs)
-    return _only(docs, judge(docs, table(spark, sf_dir, "labels"), row="row_no").where("kept"))
+    judged = judge(docs, table(spark, sf_dir, "labels"), row="row_no").select("row", "kept")
+    return _only(docs, stage(judged, "judged").where("kept"))  # written first: the filter would repeat the rules' expressions below the aggregate
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
