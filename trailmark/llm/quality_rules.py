@@ -94,6 +94,8 @@ def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, bucke
     over a fifth of them in repeated windows), score (mean ratio; 0 without words), kept
     (score >= threshold, and not base_failed). Null text counts as empty. With no trusted document
     every score is 0. No rows give no rows. ``row``: the column that numbers the rows, returned as row.
+    The verdicts are written to the shared folder, so that a filter on them isn't pushed down into
+    the expressions that they come from.
     """
     ratios = bucket_ratios(docs, trusted_ids(labels, most_trusted), buckets)
     facts = ["doc_id", "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -102,4 +104,4 @@ def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, bucke
     summed = each.join(F.broadcast(ratios), "bucket", "left").groupBy(*facts).agg(F.sum("ratio").alias("sum"), F.count("bucket").alias("n"))
     score = F.when(F.col("n") > 0, F.col("sum") / F.col("n") / 1_000_000).otherwise(F.lit(0.0))
     out = summed.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).withColumn("score", score)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("sum", "n")
+    return stage(out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("sum", "n"), "judged")
