@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import row_number, stage
+from .shared import stage
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -24,10 +24,10 @@ def pairs_of(items: str) -> tuple[Column, Column]:
     return F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0))), F.slice(items, 2, F.greatest(F.size(items), F.lit(1)))
 
 
-def measures(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """doc_id, row, the counts of the base rules, and ``hashes`` of the words."""
+def measures(docs: DataFrame) -> DataFrame:
+    """doc_id, row (the whole input row), the counts of the base rules, and ``hashes`` of the words."""
     text = F.coalesce("text", F.lit(""))
-    out = docs.select(F.col("doc_id").cast("long"), row_number(row).alias("row"), text.alias("text"))
+    out = docs.select(F.col("doc_id").cast("long"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\x0b\x0c\r", "    "))) > 0)
     out = out.select(
         "doc_id", "row",
@@ -84,24 +84,33 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFram
     return counts.select("bucket", F.round(F.log((F.col("trusted") + PRIOR) / (expected + PRIOR)) * 1_000_000).cast("long").alias("ratio"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, buckets: int = 1 << 16, most_trusted: int = 20_000, row: str | None = None) -> DataFrame:
+def ratio_table(ratios: DataFrame, buckets: int) -> Column:
+    """The ratios as one constant array by bucket (``buckets`` numbers, whatever the corpus), 0 for a bucket that never occurs."""
+    values = [0] * buckets
+    for r in ratios.collect():  # one row a bucket
+        values[r["bucket"]] = r["ratio"]
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, buckets: int = 1 << 16, most_trusted: int = 20_000) -> DataFrame:
     """Base rules and the verdict of every document.
 
-    Input columns: doc_id, text, and labels' doc_id, quality; others are ignored. The trusted
-    multinomial is fitted on at most ``most_trusted`` documents labelled good (by the order of
-    md5(doc_id)); the other one covers all documents. Result, a row for each input row: doc_id,
-    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (under 10 words, or
-    over a fifth of them in repeated windows), score (mean ratio; 0 without words), kept
-    (score >= threshold, and not base_failed). Null text counts as empty. With no trusted document
-    every score is 0. No rows give no rows. ``row``: the column that numbers the rows, returned as row.
-    The verdicts are written to the shared folder, so that a filter on them isn't pushed down into
-    the expressions that they come from.
+    Input columns: doc_id, text, and labels' doc_id, quality. The trusted multinomial is fitted on
+    at most ``most_trusted`` documents labelled good (by the order of md5(doc_id)); the other one
+    covers all documents. Result, a row for each input row: doc_id, n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, base_failed (under 10 words, or over a fifth of them in repeated
+    windows), score (mean ratio; 0 without words), kept (score >= threshold, and not base_failed),
+    and row, the whole input row with whatever columns it has. Null text counts as empty. With no
+    trusted document every score is 0. Repeated rows are judged each for itself. No rows give no rows.
+
+    Documents are scored where they are read: no row is shuffled. Verdicts come out of a generator,
+    so that a filter on them isn't pushed down into the expressions that they come from.
     """
-    ratios = bucket_ratios(docs, trusted_ids(labels, most_trusted), buckets)
-    facts = ["doc_id", "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    each = measures(docs, row).select(*facts, F.explode_outer(grams("hashes", buckets)).alias("bucket"))
-    # one row a bucket, so at most ``buckets`` rows
-    summed = each.join(F.broadcast(ratios), "bucket", "left").groupBy(*facts).agg(F.sum("ratio").alias("sum"), F.count("bucket").alias("n"))
-    score = F.when(F.col("n") > 0, F.col("sum") / F.col("n") / 1_000_000).otherwise(F.lit(0.0))
-    out = summed.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).withColumn("score", score)
-    return stage(out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("sum", "n"), "judged")
+    table = ratio_table(bucket_ratios(docs, trusted_ids(labels, most_trusted), buckets), buckets)
+    facts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    each = measures(docs).withColumn("grams", grams("hashes", buckets))
+    total = F.aggregate("grams", F.lit(0).cast("long"), lambda sum_, g: sum_ + F.get(table, g))
+    score = F.when(F.size("grams") > 0, total / F.size("grams") / 1_000_000).otherwise(F.lit(0.0))
+    out = each.select("doc_id", "row", F.inline(F.array(F.struct(*facts, score.alias("score")))))
+    out = out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+    return out.select("doc_id", *facts, "base_failed", "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "row")
