@@ -37,8 +37,8 @@ def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the base rules or the n-gram ratio reject go, each by its own text."""
-    docs = _numbered(docs)
-    return _only(docs, judge(docs, table(spark, sf_dir, "labels"), row="row_no").where("kept"))
+    docs = docs.select(*_columns(docs))
+    return judge(docs, table(spark, sf_dir, "labels")).where("kept").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
