@@ -2,8 +2,10 @@
 
 import math
 import random
+import subprocess
+import sys
 import zlib
-from datetime import datetime
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -174,6 +176,65 @@ def test_ids_are_crc(spark):
 
 
 def test_entry_module_without_text_operators():
-    import __spark_entry__ as entry
+    """In a process of its own, where the text operators and the pipeline can't be imported."""
+    hide = """
+import sys
+class Hidden:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("trailmark.llm"):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as entry
+names = set(entry.queries())
+assert names == set(entry.oracle_sql()) and "gt_future_grid" in names and "pipeline" not in names and not any(n.startswith("op") for n in names)
+"""
+    done = subprocess.run([sys.executable, "-c", hide], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
+def test_admission_in_chunks_equals_one_walk(spark):
+    rng = random.Random(3)
+    rows, want = [], set()
+    for g in range(3):
+        t, last = 0, None
+        for i in range(300):
+            t += rng.choice([0, 1, 2, 7, 40])
+            rows.append((g, i, t))
+            if last is None or t - last >= 10:
+                want.add((g, i))
+                last = t
+    df = spark.createDataFrame(rows, "g int, ingest_seq long, stamp_us long")
+    for chunk in (10, 37, 500, None):
+        assert {(r.g, r.ingest_seq) for r in series.admit(df, ["g"], "ingest_seq", "stamp_us", 10, chunk_us=chunk).collect()} == want
+    assert series.admit(df.limit(0), ["g"], "ingest_seq", "stamp_us", 10).count() == 0
+
+
+def test_brackets_across_chunks(spark):
+    rng = random.Random(4)
+    points = sorted(rng.sample(range(1000), 30))
+    rows = spark.createDataFrame([(None, t, (t,)) for t in points], "g int, stamp_us long, point struct<t: long>")
+    asked = [*range(-50, 1050, 13), *points[:5]]
+    grid = spark.createDataFrame([(None, t, t) for t in asked], "g int, stamp_us long, q long")
+    want = {(t, max((p for p in points if p <= t), default=None), min((p for p in points if p >= t), default=None)) for t in asked}
+    for chunk in (7, 100, 10_000):
+        got = series.bracket(grid, rows, ["g"], chunk_us=chunk).collect()
+        assert {(r.q, r.before and r.before.t, r.after and r.after.t) for r in got} == want and len(got) == len(asked)
+
+
+def test_plans_are_finite_in_every_field(spark):
+    from trailmark.schemas import CHANNELS
+
+    zero = '{"x": 0, "y": 0, "z": 0}'
+    whole = '{"timestamp_us": 1, "position": P, "orientation": {"x": 0, "y": 0, "z": 0, "w": 1}, "linear_velocity": V, "linear_acceleration": A, "yaw": 0, "yaw_rate": 1, "yaw_acceleration": 2, "speed": 3}'
+    whole = whole.replace("P", zero).replace("V", zero).replace("A", zero)
+    nan = [whole.replace(a, b) for a, b in (('"w": 1', '"w": NaN'), ('"yaw_rate": 1', '"yaw_rate": NaN'), ('"yaw_acceleration": 2', '"yaw_acceleration": Infinity'), ('"linear_velocity": {"x": 0', '"linear_velocity": {"x": NaN'), ('"linear_acceleration": {"x": 0', '"linear_acceleration": {"x": NaN'))]
+    df = spark.createDataFrame([(i, f'{{"reference_timestamp_us": 0, "planned_trajectory": {{"points": [{p}]}}}}') for i, p in enumerate([whole, *nan])], "i int, t string").select("i", F.from_json("t", CHANNELS["navigation"]).alias("r"))
+    got = [r.v for r in df.orderBy("i").select(navigation.plan_valid(F.col("r.planned_trajectory"), F.col("r.reference_timestamp_us")).alias("v")).collect()]
+    assert got == [True] + [False] * 5
+
 
-    assert datetime.now() and "gt_future_grid" in entry.queries()
+def test_configurations_have_bounds():
+    assert recording.FutureConfig().period_us == 500_000
+    for bad in ({"future_us": -1}, {"interval_us": -1}, {"max_points": 0}, {"rate_hz": 0}):
+        with pytest.raises(ValueError):
+            recording.FutureConfig(**bad)

@@ -7,10 +7,12 @@ import struct
 import threading
 import time
 
+import pytest
+
 from trailmark.operators import navigation
 from trailmark.operators.series import segment
-from trailmark.sources.framed import FramedSource, frames, read_captures
-from trailmark.sources.tables import append, retain
+from trailmark.sources.framed import Closed, FramedSource, frames, packets, read_captures
+from trailmark.sources.tables import append, retain, retained, topic, versions
 from trailmark.streaming import stateful
 
 
@@ -114,9 +116,57 @@ def test_sinks(spark, tmp_path):
     schema = "ingest_seq long, k string, v int"
     append(stream_of(spark, rows, schema, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), partition_by=["k"]).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
-    held = {"df": None}
-    upsert = retain(["k"], lambda: held["df"], lambda df: held.update(df=df))
+    table = str(tmp_path / "retained")
+    assert retained(spark, table) is None
+    upsert = retain(["k"], table)
     for i in range(3):
         upsert(spark.createDataFrame(rows[i : i + 1], schema), i)
     upsert(spark.createDataFrame(rows[2:], schema), 2)
-    assert {r.k: r.v for r in held["df"].collect()} == {"a": 30, "b": 20}
+    assert {r.k: r.v for r in retained(spark, table).collect()} == {"a": 30, "b": 20} and versions(spark, table) == [0, 1, 2]
+    upsert(spark.createDataFrame([(9, "b", 1)], schema), 1)  # a batch that comes again starts from the version before it
+    assert {r.k: r.v for r in retained(spark, table, before=2).collect()} == {"a": 10, "b": 1}
+
+
+def test_topics_at_rest_and_as_streams(spark, tmp_path):
+    schema = "ingest_seq long, payload string, channel string"
+    spark.createDataFrame([(1, "x", "ego"), (2, "y", "map"), (3, "z", "ego")], schema).write.partitionBy("channel").parquet(str(tmp_path / "topic"))
+    rest = topic(spark, str(tmp_path / "topic"), schema, channels=["ego"])
+    assert {r.ingest_seq for r in rest.collect()} == {1, 3} and "PartitionFilters: [isnotnull(channel" in rest._jdf.queryExecution().toString()
+    assert {r.ingest_seq for r in drained(topic(spark, str(tmp_path / "topic"), schema, channels=["map"], stream=True, most_files=1), "topic_stream")} == {2}
+
+
+def test_path_points_break_on_frames(spark, tmp_path):
+    rows = [("a", 1, 0, "map"), ("a", 2, 5, "map"), ("a", 3, 6, "odom"), ("a", 4, 7, ""), ("a", 5, 20, "odom"), ("a", 6, 40, "map")]
+    got = drained(stateful.path_points(stream_of(spark, rows, "k string, ingest_seq long, stamp_us long, pose_frame_id string", tmp_path / "in"), "k", 10), "frame_stream")
+    assert {(r.ingest_seq, r.segment) for r in got} == {(1, 0), (3, 1), (5, 1), (6, 2)}
+
+
+def test_bad_bytes_keep_their_frame_and_no_length_ends_it():
+    bad = struct.pack("!I", 4) + b"\xff\xfe{}" + framed("{}")
+    assert [end for *_, end in packets(bad)] == [8, 14] and len(list(frames(bad))) == 2
+    with pytest.raises(Closed):
+        list(packets(framed("{}") + struct.pack("!I", 0)))
+
+
+def test_camera_frames_and_broken_senders_on_a_port(spark):
+    reader = FramedSource({"port": "29873", "images": "true", "maxPacketsPerTrigger": "100"}).simpleStreamReader(None)
+    try:
+        reader.read({"n": 0})
+        with socket.create_connection(("127.0.0.1", 29873)) as bad, socket.create_connection(("127.0.0.1", 29873)) as good:
+            bad.sendall(framed("[1]", b"a") + struct.pack("!I", 0) + framed("[2]", b"b"))
+            good.sendall(framed("[3]", b"\x00\xff" * 50_000) + framed("[4]", b"")[:-3])
+            end, until = {"n": 0}, time.time() + 20
+            while end["n"] < 2 and time.time() < until:
+                time.sleep(0.1)
+                _, end = reader.read({"n": 0})
+            good.sendall(framed("[4]", b"")[-3:])
+            while end["n"] < 3 and time.time() < until:
+                time.sleep(0.1)
+                rows, end = reader.read({"n": 0})
+        rows = list(reader.readBetweenOffsets({"n": 0}, end))
+        assert {(text, len(data)) for _, text, data in rows} == {("[1]", 1), ("[3]", 100_000), ("[4]", 0)}
+        reader.commit(end)
+        with pytest.raises(RuntimeError):
+            reader.readBetweenOffsets({"n": 0}, end)
+    finally:
+        reader.socket.close()

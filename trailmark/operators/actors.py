@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from ..functions.timeutil import history_capacity
 from ..schemas import ACTOR_SOURCES
-from .series import downsample
+from .series import bracket, downsample
 
 
 @dataclass(frozen=True)
@@ -38,33 +38,61 @@ def snapshots(records: DataFrame) -> DataFrame:
     return each.select("ingest_seq", "ref_us", "pose_frame_id", "dynamics_frame_id", "at", *(F.col(f"a.{c}").alias(c) for c in ("track_id", "label_class", "is_static", "dimensions", "available_future_points")), F.col("a.current_state").alias("state"))
 
 
-def history(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: list[str] | None = None, time: str = "stamp_us") -> DataFrame:
+def _slot(us: Column, width: int) -> Column:
+    return ((us - F.pmod(us, F.lit(width))) / width).cast("long")
+
+
+def _seen(rows: DataFrame, by: list[str], time: str) -> tuple[DataFrame, WindowSpec]:
+    of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
+    return rows.withColumn("_again", F.col(time).eqNullSafe(F.lag(time).over(of_track))).withColumn("_next", F.lead("ingest_seq").over(of_track)), of_track
+
+
+def history(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: list[str] | None = None, time: str = "stamp_us", meta: list[str] | None = None) -> DataFrame:
     """For each packet and buffered track: the ring's samples inside the history, thinned, and what they span.
 
     ``rows``: by, ingest_seq, track_id, ``time``, ref_us; ``packets``: by, ingest_seq, ref_us, and maybe
-    others. A track also appears in packets that it isn't in, until it is stale. A state whose time
-    equals the track's last one is not buffered, but the track counts as seen.
+    others. ``by`` tells rollouts apart: inside one, ref_us doesn't fall. A track also appears in
+    packets that it isn't in, until it is stale. A state whose time equals the track's last one is
+    not buffered, but the track counts as seen. ``meta``: columns of ``rows``, returned as they are
+    in the newest sample inside the history.
+
+    Packets meet the tracks that they may see by slots of the stale time: a track is in two at most.
     """
-    by = by or []
-    of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
-    seen = rows.withColumn("_again", F.col(time).eqNullSafe(F.lag(time).over(of_track)))
-    seen = seen.withColumn("_next", F.lead("ingest_seq").over(of_track))
-    sample = F.struct(F.col(time).alias("t"), "ingest_seq")
+    by, meta = by or [], meta or []
+    seen, of_track = _seen(rows, by, time)
+    sample = F.struct(F.col(time).alias("t"), "ingest_seq", *meta)
     ring = F.collect_list(sample).over(of_track.rowsBetween(-(config.capacity - 1), 0))
     buffered = seen.where(~F.col("_again")).withColumn("ring", ring).select(*by, "track_id", "ingest_seq", "ring")
     last = F.last("ring", ignorenulls=True).over(of_track.rowsBetween(Window.unboundedPreceding, 0))
     seen = seen.join(buffered, [*by, "track_id", "ingest_seq"], "left").withColumn("ring", last)
-    spans = seen.select(*by, "track_id", F.col("ingest_seq").alias("_from"), "_next", F.col("ref_us").alias("last_seen_us"), "ring")
-    on = (F.col("p.ingest_seq") >= F.col("s._from")) & (F.col("s._next").isNull() | (F.col("p.ingest_seq") < F.col("s._next"))) & (F.col("p.ref_us") - F.col("s.last_seen_us") <= config.stale_us)
+    width = max(config.stale_us, 1)
+    slots = F.array_distinct(F.array(_slot(F.col("ref_us"), width), _slot(F.col("ref_us") + config.stale_us, width)))
+    spans = seen.select(*by, "track_id", F.col("ingest_seq").alias("_from"), "_next", F.col("ref_us").alias("last_seen_us"), "ring", F.explode(slots).alias("_slot"))
+    on = (F.col("p._slot") == F.col("s._slot")) & (F.col("p.ingest_seq") >= F.col("s._from")) & (F.col("s._next").isNull() | (F.col("p.ingest_seq") < F.col("s._next"))) & (F.col("p.ref_us") - F.col("s.last_seen_us") <= config.stale_us)
     for c in by:
         on &= F.col(f"p.{c}") == F.col(f"s.{c}")
-    joined = packets.alias("p").join(spans.alias("s"), on)
+    joined = packets.withColumn("_slot", _slot(F.col("ref_us"), width)).alias("p").join(spans.alias("s"), on)
     inside = F.filter("s.ring", lambda x: (x["t"] >= F.col("p.ref_us") - config.history_us) & (x["t"] <= F.col("p.ref_us")))
-    out = joined.select(*(F.col(f"p.{c}").alias(c) for c in by), F.col("p.ingest_seq").alias("ingest_seq"), F.col("p.ref_us").alias("ref_us"), "s.track_id", "s.last_seen_us", F.array_sort(inside).alias("valid"))
+    out = joined.select(*(F.col(f"p.{c}").alias(c) for c in by), F.col("p.ingest_seq").alias("ingest_seq"), F.col("p.ref_us").alias("ref_us"), "s.track_id", "s.last_seen_us", inside.alias("_inside"))
+    out = out.where(F.size("_inside") > 0).withColumns({"valid": F.array_sort("_inside"), **{c: F.element_at("_inside", -1)[c] for c in meta}}).drop("_inside")
     out = out.withColumn("points", downsample("valid", "t", config.period_us, config.max_points)).where(F.size("points") > 0)
     return out.withColumn("actual_us", F.greatest(F.col("ref_us") - F.get("points", F.lit(0))["t"], F.lit(0))).withColumn("source", F.lit(ACTOR_SOURCES["HISTORY"]))
 
 
+def stale_tracks(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: list[str] | None = None) -> DataFrame:
+    """Tracks that a packet evicts: track_id, last_seen_us, and the packet's ingest_seq and ref_us.
+
+    It is the first packet that comes more than the stale time behind the last one that has the track.
+    """
+    by = by or []
+    of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
+    spans = rows.select(*by, "track_id", F.col("ref_us").alias("last_seen_us"), F.lead("ingest_seq").over(of_track).alias("_next"), (F.col("ref_us") + config.stale_us + 1).alias("stamp_us"))
+    first = packets.groupBy(*by, "ref_us").agg(F.min("ingest_seq").alias("ingest_seq"))
+    points = first.select(*by, F.col("ref_us").alias("stamp_us"), F.struct("ingest_seq", "ref_us").alias("point"))
+    out = bracket(spans, points, by, chunk_us=max(config.stale_us, 1) * 16).where("after IS NOT NULL AND (_next IS NULL OR after.ingest_seq < _next)")
+    return out.select(*by, "track_id", "last_seen_us", "after.ingest_seq", "after.ref_us")
+
+
 def future(rows: DataFrame, config: ActorConfig, *, points: str = "available_future_points", time: str = "timestamp_us") -> DataFrame:
     """Tracks of the packet with the coming points inside the future, thinned."""
     ref = F.col("ref_us")
@@ -80,6 +108,20 @@ def prediction(futures: DataFrame, config: ActorConfig) -> DataFrame:
     return futures.withColumns({"source": F.lit(ACTOR_SOURCES["PLACEHOLDER"]), "producer": F.lit(config.placeholder)})
 
 
-def packet_duration(tracks: DataFrame, by: list[str]) -> DataFrame:
-    """The longest span over a packet's tracks, and their number."""
-    return tracks.groupBy(*by).agg(F.max("actual_us").alias("actual_us"), F.count("*").alias("n_tracks"))
+def header(packets: DataFrame, config: ActorConfig, kind: str) -> DataFrame:
+    """What an array of tracks says of itself: source, producer, requested_us, interval_us. ``kind``: HISTORY, FUTURE or PLACEHOLDER."""
+    asked = config.history_us if kind == "HISTORY" else config.future_us
+    producer = config.placeholder if kind == "PLACEHOLDER" else config.producer
+    return packets.withColumns({"source": F.lit(ACTOR_SOURCES[kind]), "producer": F.lit(producer), "is_model_generated": F.lit(False), "requested_us": F.lit(asked), "interval_us": F.lit(config.period_us)})
+
+
+def packet_duration(tracks: DataFrame, packets: DataFrame, by: list[str]) -> DataFrame:
+    """The span of all points of each packet from its own time (0 without tracks), and the number of tracks.
+
+    ``tracks``: by, points, whose times are ``t`` or ``timestamp_us``; ``packets``: by, ref_us.
+    """
+    time = "t" if "t" in tracks.schema["points"].dataType.elementType.names else "timestamp_us"
+    spans = tracks.groupBy(*by).agg(F.min(F.get("points", F.lit(0))[time]).alias("_first"), F.max(F.element_at("points", -1)[time]).alias("_last"), F.count("*").alias("n_tracks"))
+    ref = F.col("ref_us")
+    duration = F.greatest(F.greatest(ref, F.coalesce("_last", ref)) - F.least(ref, F.coalesce("_first", ref)), F.lit(0))
+    return packets.join(spans, by, "left").withColumn("actual_us", duration).withColumn("n_tracks", F.coalesce("n_tracks", F.lit(0))).drop("_first", "_last")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from ..functions.codes import image_format
 
@@ -36,5 +37,15 @@ def static_transforms(calibrations: DataFrame, cameras: DataFrame) -> DataFrame:
     return named.select("camera", F.lit("base_link").alias("parent"), F.col("frame_id").alias("child"), shift.alias("translation"), turn.alias("rotation")).where("translation IS NOT NULL AND rotation IS NOT NULL")
 
 
+def _sorted_fields(value: Column, kind: DataType) -> Column:
+    """A struct whose fields, at every depth, are in the order of their names; null stays null."""
+    if not isinstance(kind, StructType):
+        return value
+    fields = (_sorted_fields(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name))
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
 def calibration_json(calibrations: DataFrame) -> DataFrame:
-    return calibrations.select("camera_logical_id", F.to_json("camera_metadata").alias("json"))
+    """The metadata as JSON text with sorted keys, indented by two. Absent fields are left out."""
+    ordered = _sorted_fields(F.col("camera_metadata"), calibrations.schema["camera_metadata"].dataType)
+    return calibrations.select("camera_logical_id", F.regexp_replace(F.to_json(ordered, {"pretty": "true"}), '(?m)^( *"[^"]*") : ', "$1: ").alias("json"))

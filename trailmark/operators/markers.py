@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import ACTOR_COLOURS, OTHER_ACTOR, colour_of, rgba, stable_id, wait_line_colour
 from ..functions.geometry import raised
+from .vectormap import elements
 
 #: Line layers as namespace, width, z offset and colour.
 NAVIGATION_LAYERS = {
@@ -72,14 +73,24 @@ def signs(rows: DataFrame, offset: float = 0.04) -> DataFrame:
     return rows.withColumns({"sphere": raised(F.col("position"), offset), "label": raised(F.col("position"), offset + 0.7), "text": text})
 
 
-def map_markers(lanes: DataFrame, road_edges: DataFrame, wait_lines: DataFrame, traffic_signs: DataFrame) -> DataFrame:
-    """All markers of a map by layer: ns, element id, n_points."""
-    parts = [line_strips(lanes.select("id", F.col(f"{c}.points").alias("points")), MAP_LAYERS[c]) for c in ("centerline", "left_boundary", "right_boundary")]
-    parts.append(line_strips(road_edges.select("id", F.col("polyline.points").alias("points")), MAP_LAYERS["road_edge"]))
-    parts.append(line_strips(wait_lines.select("id", "wait_line_type", "is_implicit", F.col("polyline.points").alias("points")), MAP_LAYERS["wait_line"]))
-    out = signs(traffic_signs).select(F.lit("map/traffic_signs").alias("ns"), "id", F.lit(1).alias("n_points"))
-    for part in parts:
-        out = out.unionByName(part.select("ns", "id", F.size("line").alias("n_points")))
+def map_markers(maps: DataFrame, key: list[str]) -> DataFrame:
+    """All markers of each map, in the order of layer, at, part: key, layer, at, part, ns, id, action, n_points.
+
+    Layer 0 deletes all that is there; then centerlines, boundaries (left and right of a lane side
+    by side), road edges, wait lines, and signs with their labels.
+    """
+    lanes, road_edges, wait_lines, traffic_signs = (elements(maps, c, key) for c in ("lanes", "road_edges", "wait_lines", "traffic_signs"))
+    line = lambda rows, c, *more: rows.select(*key, "at", "id", *more, F.col(f"{c}.points").alias("points"))
+    strips = [
+        (1, 0, line(lanes, "centerline"), "centerline"), (2, 0, line(lanes, "left_boundary"), "left_boundary"), (2, 1, line(lanes, "right_boundary"), "right_boundary"),
+        (3, 0, line(road_edges, "polyline"), "road_edge"), (4, 0, line(wait_lines, "polyline", "wait_line_type", "is_implicit"), "wait_line"),
+    ]
+    row = lambda df, layer, part, ns, id_, action, n: df.select(*key, F.lit(layer).alias("layer"), "at", F.lit(part).alias("part"), ns.alias("ns"), id_.alias("id"), F.lit(action).alias("action"), n.alias("n_points"))
+    out = row(maps.withColumn("at", F.lit(-1)), 0, 0, F.lit(""), F.lit(""), "DELETEALL", F.lit(0))
+    for layer, part, lines, name in strips:
+        out = out.unionByName(row(line_strips(lines, MAP_LAYERS[name]), layer, part, F.col("ns"), F.col("id"), "ADD", F.size("line")))
+    for part, ns in enumerate(("map/traffic_signs", "map/traffic_sign_labels")):
+        out = out.unionByName(row(traffic_signs, 5, part, F.lit(ns), F.col("id"), "ADD", F.lit(1)))
     return out
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,28 +9,32 @@ from pyspark.sql.window import Window
 from ..functions.codes import plan_source, route_generator
 from ..functions.geometry import finite
 from .recording import increasing
-from .series import fold
+from .series import scan
+
 
+def gate_steps(state: tuple[int, int | None] | None, sequence: list[int], reference: list[int], valid: list[bool]) -> tuple:
+    """The state machine of the gate: last sequence and last reference, kept from the last packet that passed whole.
 
-def gate_steps(rows: Iterator[dict]) -> Iterator[dict]:
-    """The state machine of the gate: last sequence and last reference, kept from the last packet that passed whole."""
-    last_seq, last_ref = 0, None
-    for row in rows:
-        seq, ref = row["sequence"], row["reference_us"]
+    Returns the state, and for each packet whether time fell back and whether it passed.
+    """
+    last_seq, last_ref = state or (0, None)
+    rollback, accepted = [], []
+    for seq, ref, whole in zip(sequence, reference, valid, strict=True):
         back = last_ref is not None and ref < last_ref
         if back:
             last_seq = 0
-        accepted = not (last_seq != 0 and seq <= last_seq and not back)
-        if accepted and row["valid"]:
+        passed = last_seq == 0 or seq > last_seq or back
+        if passed and whole:
             last_seq, last_ref = seq, ref
-        yield {**row, "rollback": back, "accepted": accepted}
+        rollback.append(back)
+        accepted.append(passed)
+    return (last_seq, last_ref), rollback, accepted
 
 
 def gate(updates: DataFrame, by: list[str]) -> DataFrame:
     """``accepted`` and ``rollback`` for each update. ``updates``: by, ingest_seq, sequence, reference_us, valid."""
     rows = updates.select(*by, "ingest_seq", "sequence", "reference_us", "valid")
-    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-    return fold(rows, by, "ingest_seq", gate_steps, f"{kinds}, rollback boolean, accepted boolean")
+    return scan(rows, by, "ingest_seq", ["sequence", "reference_us", "valid"], gate_steps, "rollback boolean, accepted boolean")
 
 
 def _vector_finite(v: Column) -> Column:
@@ -48,10 +50,19 @@ def route_valid(route: Column, frame: str) -> Column:
 
 
 def plan_valid(plan: Column, reference: Column) -> Column:
-    """A plan is absent, or in the map frame, ends no earlier than it starts, with finite points at rising times."""
+    """A plan is absent, or in the map frame, ends no earlier than it starts, with points that are finite in every field, at rising times."""
     start = F.coalesce(plan["start_timestamp_us"], reference)
     points = F.coalesce(plan["points"], F.array())
-    fields = lambda p: _vector_finite(p["position"]) & finite(p["yaw"]) & finite(p["speed"])
+    vectors, numbers = ("position", "linear_velocity", "linear_acceleration"), ("yaw", "yaw_rate", "yaw_acceleration", "speed")
+
+    def fields(p: Column) -> Column:
+        whole = _vector_finite(p["orientation"]) & finite(p["orientation"]["w"])
+        for c in vectors:
+            whole &= _vector_finite(p[c])
+        for c in numbers:
+            whole &= finite(p[c])
+        return whole
+
     rising = (F.size(points) == 0) | increasing(points)
     return plan.isNull() | ((F.coalesce(plan["pose_frame_id"], F.lit("map")) == "map") & (F.coalesce(plan["end_timestamp_us"], start) >= start) & rising & F.forall(points, fields))
 

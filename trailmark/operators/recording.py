@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.geometry import lerp, lerp_vector, nlerp, norm
-from .series import bracket, max_points, native_grid, regular_grid, thin
+from .series import bracket, max_points, native_grid, regular_grid, revisions, thin
 
 
 def increasing(points: Column | str, time: str = "timestamp_us") -> Column:
@@ -17,6 +20,51 @@ def increasing(points: Column | str, time: str = "timestamp_us") -> Column:
     return (F.size(points) > 0) & F.forall(pairs, lambda x: x)
 
 
+@dataclass(frozen=True)
+class FutureConfig:
+    """What a client asks of a recording at each tick."""
+
+    future_us: int = 6_400_000
+    interval_us: int = 100_000
+    max_points: int = 65
+    rate_hz: float = 2.0
+
+    def __post_init__(self) -> None:
+        if min(self.future_us, self.interval_us) < 0 or self.max_points < 1 or self.rate_hz <= 0:
+            raise ValueError("durations must not be negative; points and rate must be above 0")
+
+    @property
+    def period_us(self) -> int:
+        return round(1_000_000 / self.rate_hz)
+
+
+def cache(packets: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """What each recording does to the cache: ``status`` invalid, duplicate or cached, the revision it is or makes, and its bounds.
+
+    ``packets``: by, ingest_seq, scene_id, source_revision, points. A recording without points, or
+    whose times don't rise, leaves the cache alone; one with the key of the cached one is no news.
+    """
+    by = by or []
+    rows = packets.withColumns({"source_revision": F.coalesce("source_revision", F.lit(1)), "_good": F.coalesce(increasing("points"), F.lit(False))})
+    rows = rows.withColumns({"start_us": F.get("points", F.lit(0))["timestamp_us"], "end_us": F.get("points", F.size("points") - 1)["timestamp_us"]}).drop("points")
+    good = revisions(rows.where("_good"), ["scene_id", "source_revision"], by=by)
+    first = F.min("ingest_seq").over(Window.partitionBy(*by, "revision"))
+    good = good.withColumn("status", F.when(F.col("ingest_seq") == first, "cached").otherwise("duplicate"))
+    bad = rows.where("NOT _good").withColumn("status", F.lit("invalid"))
+    return good.unionByName(bad, allowMissingColumns=True).select(*by, "ingest_seq", "scene_id", "source_revision", "status", "revision", "start_us", "end_us")
+
+
+def tick_requests(ticks: DataFrame, config: FutureConfig) -> DataFrame:
+    """A request for each tick. ``ticks``: keys, request_id, tick_us. Each asks for another window, so none names a revision."""
+    asked = {"future_duration_us": config.future_us, "sampling_interval_us": config.interval_us, "max_points": config.max_points}
+    return ticks.withColumnRenamed("tick_us", "reference_us").withColumns({**{c: F.lit(v) for c, v in asked.items()}, "known_revision": F.lit(0)})
+
+
+def usable(responses: DataFrame, points: str = "points") -> DataFrame:
+    """Answers that a client publishes: they succeeded, say something new, and aren't empty."""
+    return responses.where((F.col("status") == "ok") & (F.size(points) > 0))
+
+
 def answer_status(requests: DataFrame, recordings: DataFrame, *, on: list[str]) -> DataFrame:
     """Requests with ``status``: no_recording, not_modified, out_of_range or ok, in this order, and the clipped window.
 

@@ -77,20 +77,70 @@ def downsample(points: Column | str, time: str, period_us: int, most: int) -> Co
     return F.when(F.size(points) == 0, points).otherwise(F.transform(kept, lambda i: F.get(points, i)))
 
 
-def admit(df: DataFrame, by: list[str], seq: str, time: str, interval_us: int) -> DataFrame:
-    """Greedy admission on a stream: a row stays if it is at least ``interval_us`` behind the last that stayed; no rule for the final one."""
+def _next_kept(stamps: np.ndarray, interval_us: int) -> np.ndarray:
+    """The place of the next one that stays behind each one (the size, where there is none)."""
+    return np.searchsorted(stamps, stamps + interval_us, side="left")
+
+
+def _last_kept(stamps: np.ndarray, interval_us: int) -> np.ndarray:
+    """For each time as the first that stays: the last one that stays, by doubling the steps."""
+    n = stamps.size
+    jump = np.append(_next_kept(stamps, interval_us), n)
+    jumps = [jump]
+    while (jumps[-1][:n] < n).any():
+        jumps.append(jumps[-1][jumps[-1]])
+    at = np.arange(n)
+    for jump in reversed(jumps):
+        at = np.where(jump[at] < n, jump[at], at)
+    return stamps[at]
+
+
+def admit(df: DataFrame, by: list[str], seq: str, time: str, interval_us: int, *, chunk_us: int | None = None) -> DataFrame:
+    """Greedy admission on a stream: a row stays if it is at least ``interval_us`` behind the last that stayed; no rule for the final one.
+
+    Times don't fall within ``by``. A long series is no obstacle: chunks of time are worked on side
+    by side. Each tells, for every time at which admission may enter it, the last that stays; a row
+    a chunk meets in a chain that says where admission does enter, and then each chunk is thinned.
+    """
     if interval_us <= 0:
         return df
+    names, columns = [f"_by_{c}" for c in by], df.columns
+    work = df.withColumn("_chunk", F.floor(F.col(time) / (chunk_us or 4096 * interval_us)))
+
+    def enter(group: pd.DataFrame) -> pd.DataFrame:
+        stamps = np.sort(group["_t"].to_numpy())
+        many = int(np.searchsorted(stamps, stamps[0] + interval_us, side="left")) + 1  # no later one can be the first that stays
+        first = group.iloc[[0]][[*names, "_chunk"]].reset_index(drop=True)
+        return first.assign(enter=[stamps[:many].tolist()], leave=[_last_kept(stamps, interval_us)[:many].tolist()])
+
+    kinds = ", ".join(f"{n} {dict(df.dtypes)[c]}" for c, n in zip(by, names, strict=True))
+    slim = work.select(*(F.col(c).alias(n) for c, n in zip(by, names, strict=True)), "_chunk", F.col(time).alias("_t"))
+    tables = slim.groupBy(*names, "_chunk").applyInPandas(enter, f"{kinds}, _chunk long, enter array<long>, leave array<long>")
+
+    def chain(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_chunk")
+        last, out = None, []
+        for enter, leave in zip(group["enter"], group["leave"], strict=True):
+            at = 0 if last is None else int(np.searchsorted(enter, last + interval_us, side="left"))
+            out.append(enter[at] if at < len(enter) else None)
+            last = leave[at] if at < len(enter) else last
+        return group[[*names, "_chunk"]].rename(columns={"_chunk": "_at"}).assign(_enter=pd.array(out, dtype="Int64"))
+
+    entries = tables.groupBy(*names).applyInPandas(chain, f"{kinds}, _at long, _enter long").where("_enter IS NOT NULL")
+    same = F.col("_chunk") == F.col("_at")
+    for c, n in zip(by, names, strict=True):
+        same &= F.col(c).eqNullSafe(F.col(n))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def thin_out(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(seq, kind="stable")
-        stamps, kept, at = group[time].to_numpy(), [], 0
-        while at < stamps.size:  # times don't fall inside a rollout, so the next one is found by search
+        stamps, kept = group[time].to_numpy(), []
+        at, following = int(np.searchsorted(stamps, group["_enter"].iloc[0], side="left")), _next_kept(stamps, interval_us)
+        while at < stamps.size:
             kept.append(at)
-            at = max(at + 1, int(np.searchsorted(stamps, stamps[at] + interval_us, side="left")))
-        return group.iloc[kept]
+            at = int(following[at])
+        return group.iloc[kept][columns]
 
-    return df.groupBy(*by).applyInPandas(run, df.schema)
+    return work.join(entries, same).select(*columns, "_chunk", "_enter").groupBy(*by, "_chunk").applyInPandas(thin_out, df.schema)
 
 
 def newest(df: DataFrame, by: list[str], time: str, seq: str, *, history_us: int = 0, most: int = 512, latest: str | None = None) -> DataFrame:
@@ -126,26 +176,61 @@ def thin(stamps: Column, most: Column) -> Column:
     return F.when(F.size(stamps) <= most, stamps).when(most == 1, F.slice(stamps, 1, 1)).otherwise(spread)
 
 
-def bracket(grid: DataFrame, points: DataFrame, by: list[str], *, time: str = "stamp_us", value: str = "point") -> DataFrame:
+def bracket(grid: DataFrame, points: DataFrame, by: list[str], *, time: str = "stamp_us", value: str = "point", chunk_us: int = 86_400_000_000) -> DataFrame:
     """As-of on both sides: for each grid row the last point not after it and the first not before it (``before``, ``after``).
 
-    One shuffle: both tables are united and scanned once a key, the points first among equals.
+    Both tables are united and scanned once, the points first among equals, in chunks of time, so
+    that one long series is many scans; a chunk's first and last points are one row, and these meet
+    in a window, which fills what lies beyond the chunk.
     """
     cols = [c for c in grid.columns if c not in by]
     left = grid.select(*by, F.col(time).alias("_t"), F.lit(1).alias("_kind"), F.struct(*cols).alias("_row"), F.lit(None).cast(points.schema[value].dataType).alias("_point"))
     right = points.select(*by, F.col(time).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.col(value).alias("_point"))
-    forward = Window.partitionBy(*by).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    backward = Window.partitionBy(*by).orderBy(F.desc("_t"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    both = left.unionByName(right)
-    both = both.withColumn("before", F.last("_point", ignorenulls=True).over(forward)).withColumn("after", F.last("_point", ignorenulls=True).over(backward))
-    return both.where("_kind = 1").select(*by, "_row.*", "before", "after")
-
+    both = left.unionByName(right).withColumn("_chunk", F.floor(F.col("_t") / chunk_us))
+    scan = Window.partitionBy(*by, "_chunk")
+    forward = scan.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    backward = scan.orderBy(F.desc("_t"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn("before", F.last("_point", ignorenulls=True).over(forward)).withColumn("after", F.last("_point", ignorenulls=True).over(backward)).where("_kind = 1")
+    ends = both.groupBy(*by, "_chunk").agg(F.max_by("_point", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_last"), F.min_by("_point", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_first"))
+    chunks = Window.partitionBy(*by).orderBy("_chunk")
+    ends = ends.select(
+        *(F.col(c).alias(f"_by_{c}") for c in by), F.col("_chunk").alias("_at"),
+        F.last("_last", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    same = F.col("_chunk") == F.col("_at")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return near.join(ends, same).select(*by, "_row.*", F.coalesce("before", "_before").alias("before"), F.coalesce("after", "_after").alias("after"))
 
-def fold(df: DataFrame, by: list[str], seq: str, step: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
-    """Rows of each key in order through a small state machine, for rules that no window expresses."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values(seq, kind="stable").to_dict("records")
-        return pd.DataFrame(list(step(iter(rows))))
+def scan(df: DataFrame, by: list[str], seq: str, columns: list[str], step: Callable[..., tuple], result: str) -> DataFrame:
+    """Rows of each key in order through a small state machine, for rules that no window expresses.
 
-    return df.groupBy(*by).applyInPandas(run, schema)
+    ``step(state, *columns)`` takes lists of a run of rows of one key, and returns the next state
+    and a list for each column of ``result``. Rows stream by in sorted order, so a key of any
+    length takes the memory of a batch.
+    """
+    kinds = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+    added = [c.strip().split(" ")[0] for c in result.split(",")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state = None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch[by]
+            before = keys.shift()
+            new = ~((keys == before) | (keys.isna() & before.isna())).all(axis=1).to_numpy()
+            new[0] = True
+            edges = [*np.flatnonzero(new).tolist(), len(batch)]
+            out: list[list] = [[] for _ in added]
+            for low, high in zip(edges, edges[1:], strict=False):
+                own = tuple(None if pd.isna(x) else x for x in keys.iloc[low])
+                state = state if own == key else None
+                key = own
+                state, *values = step(state, *(batch[c].iloc[low:high].tolist() for c in columns))
+                for column, more in zip(out, values, strict=True):
+                    column += more
+            yield batch.assign(**dict(zip(added, out, strict=True)))
+
+    return df.repartition(*by).sortWithinPartitions(*by, seq).mapInPandas(run, f"{kinds}, {result}")

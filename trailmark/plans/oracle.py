@@ -45,6 +45,31 @@ f AS (SELECT {by}, n, list_reduce(list_prepend({{'s': 0::BIGINT, 'r': 0::BIGINT,
   'o': list_append(a.o, {passes}), 'back': list_append(a.back, a.lr IS NOT NULL AND b.r < a.lr)}}) AS z FROM l)"""
 
 
+STOP, NAV = "k % 17 = 0", "NOT (k % 11 IN (0, 1)) AND NOT (k % 11 = 2 AND (k + 1) % 4 <> 0)"
+INPUT, PLAN = "(k % 5 = 0 OR k % 7 <> 0)", "(k % 4 = 0 OR k % 13 > 3)"
+ROUTES = f"""{E}, r AS (
+  SELECT event_id, k, value, 'map' AS section, i AS pos, CASE WHEN k % 11 = 3 AND i = 1 THEN false ELSE (k + i) % 4 <> 0 END AS valid, 3 AS expected FROM e, range(3) t(i) WHERE NOT ({STOP}) AND {NAV}
+  UNION ALL SELECT event_id, k, value, 'model_input', 0, true, 0 FROM e WHERE NOT ({STOP}) AND {NAV} AND {INPUT} AND k % 5 <> 0)"""
+PLANS = f"SELECT event_id, k, value FROM e WHERE NOT ({STOP}) AND {NAV} AND {INPUT} AND {PLAN} AND k % 4 <> 0"
+LINES = f"""{ROUTES}, n AS (SELECT event_id, section, count(*) FILTER (valid) AS n FROM r GROUP BY ALL UNION ALL SELECT event_id, 'plan', 3 FROM ({PLANS})),
+line AS (SELECT event_id, section, CASE section WHEN 'plan' THEN 'navigation/model_plan' ELSE 'navigation/route' END AS ns, CASE WHEN n >= 2 THEN 'ADD' ELSE 'DELETE' END AS action, n FROM n)"""
+MAPS = """l AS (SELECT label, vec_id, embedding, label || '-' || (vec_id // 64) AS map_id FROM embeddings WHERE label <> 3),
+ok AS (SELECT map_id FROM l GROUP BY map_id HAVING count(*) FILTER (vec_id % 97 = 0) = 0), m AS (SELECT * FROM l WHERE map_id IN (SELECT map_id FROM ok))"""
+
+
+CALIBRATIONS = f"{E}, c AS (SELECT ['camera_cross_left_120fov', 'camera_front_wide_120fov', 'camera_front_tele_30fov', 'camera_cross_right_120fov', 'camera_rear_left_70fov', 'unknown'][event_id % 6 + 1] AS camera, k FROM e WHERE k > 50 QUALIFY row_number() OVER (PARTITION BY event_id % 6 ORDER BY event_id) = 1)"
+
+
+def crc(text: str) -> str:
+    """CRC-32 bit by bit, and its low 31 bits."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: {step}), 4294967295::BIGINT) & 2147483647"
+
+
+def element(layer: int, part: int, ns: str, n: int, every: int) -> str:
+    return f"SELECT map_id, {layer} AS layer, row_number() OVER (PARTITION BY map_id ORDER BY vec_id) - 1 AS at, {part} AS part, '{ns}' AS ns, vec_id::VARCHAR AS id, 'ADD' AS action, {n} AS n_points FROM m WHERE vec_id % {every} = 0"
+
+
 ORACLE = {
     "ego_state": f"WITH {E}, q AS (SELECT *, sin(k * 0.0314::DOUBLE) AS z, cos(k * 0.0314::DOUBLE) AS w FROM e) SELECT event_id AS ingest_seq, us AS stamp_us, round(value, 6) AS x, round((event_id % 1000) / 10.0::DOUBLE, 6) AS y, round(z, 6) AS qz, round(w, 6) AS qw, round(atan2(2 * (w * z), 1 - 2 * (z * z)), 6) AS yaw, round(value, 6) AS speed FROM q",
     "ego_clock_tf": f"WITH {E} SELECT event_id AS ingest_seq, us // 1000000 AS sec, us % 1000000 * 1000 AS nanosec, 'map' AS parent, 'base_link' AS child, round(value, 6) AS tx FROM e",
@@ -95,4 +120,45 @@ SELECT slot, CASE WHEN rev IS NULL THEN 'no_map' WHEN asked <> '' AND asked <> s
     "receive_queue": "SELECT event_type, event_id AS ingest_seq FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 8",
     "packet_quarantine": f"WITH {E} SELECT event_id, CASE k % 10 WHEN 0 THEN 'malformed' WHEN 1 THEN 'missing timestamp_us' ELSE 'ok' END AS reason, CASE WHEN k % 10 > 1 THEN us END AS stamp_us, CASE WHEN k % 10 > 1 THEN round(value, 6) END AS x, CASE WHEN k % 10 > 1 THEN 'map' END AS pose_frame_id FROM e",
     "finite_points": f"WITH {E} SELECT event_id, k % 7 > 1 AS finite FROM e",
+    "actor_snapshot_rows": f"WITH {E}, p AS (SELECT *, event_id // 5 AS n, max(us) OVER (PARTITION BY event_id // 5) AS ref, row_number() OVER (PARTITION BY event_id // 5 ORDER BY event_id) - 1 AS pos FROM e) SELECT n AS ingest_seq, ref AS ref_us, 'map' AS pose_frame_id, pos AS at, user_id::VARCHAR AS track_id, event_type AS label_class, event_type = 'error' AS is_static, round(k / 20.0::DOUBLE, 6) AS dx, round(value, 6) AS x, round(value / 100, 6) AS speed FROM p WHERE n % 9 <> 0",
+    "actor_marker_rows": f"""WITH {E}, p AS (SELECT *, event_id // 5 AS n, row_number() OVER (PARTITION BY event_id // 5 ORDER BY event_id) - 1 AS pos FROM e)
+SELECT DISTINCT n AS ingest_seq, -1 AS at, 0 AS kind, '' AS ns, 'DELETEALL' AS action FROM p WHERE n % 9 <> 0
+UNION ALL SELECT n, pos, 0, 'actors/boxes/' || event_type, 'ADD' FROM p WHERE n % 9 <> 0 UNION ALL SELECT n, pos, 1, 'actors/labels', 'ADD' FROM p WHERE n % 9 <> 0 UNION ALL SELECT n, pos, 2, 'actors/velocity', 'ADD' FROM p WHERE n % 9 <> 0 AND value / 100 > 0.05""",
+    "marker_ids": f"WITH {E} SELECT event_id, {crc("user_id || ':box'")} AS box_id, {crc("'map/road_edges:' || event_id")} AS edge_id FROM e",
+    "actor_stale_tracks": f"WITH {E}, s AS (SELECT *, lead(event_id) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS nxt FROM e), x AS (SELECT s.user_id, s.event_type AS track_id, s.us AS last_seen_us, min(p.event_id) AS event_id FROM s JOIN e p ON p.user_id = s.user_id AND p.us > s.us + {5 * DAY} AND (nxt IS NULL OR p.event_id < nxt) GROUP BY ALL) SELECT x.*, e.us AS ref_us FROM x JOIN e USING (event_id, user_id)",
+    "actor_history_latest": f"WITH {E}, j AS (SELECT p.event_id, p.us, s.event_type AS track_id, max(s.us) AS seen, arg_max(s.value, s.us) AS value FROM e p JOIN e s ON p.user_id = s.user_id AND s.us <= p.us GROUP BY ALL) SELECT event_id, track_id, round(value, 6) AS value FROM j WHERE us - seen <= {2 * DAY}",
+    "actor_future_packets": f"{FUTURE} SELECT event_id, CASE WHEN event_id % 2 = 0 THEN p[-1] - us ELSE 0 END AS actual_us, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS n_tracks, 2 AS source, false AS is_model_generated, {7 * DAY} AS requested_us, {HOUR12} AS interval_us FROM t",
+    "nav_packets": f"WITH {E} SELECT event_id, CASE WHEN {STOP} THEN 'message_type' ELSE 'ok' END AS reason, CASE WHEN NOT ({STOP}) THEN {NAV} END AS emit_map, CASE WHEN NOT ({STOP}) THEN {NAV} AND {INPUT} END AS emit_input, CASE WHEN NOT ({STOP}) THEN {NAV} AND {INPUT} AND {PLAN} END AS emit_plan FROM e",
+    "nav_routes": f"WITH {ROUTES} SELECT event_id, section, CASE WHEN k % 2 = 1 THEN 2 ELSE 1 END AS generator, k + 1 AS sequence, expected, pos AS at, valid, CASE WHEN valid THEN round(value + pos, 6) ELSE 0 END AS x, CASE WHEN valid THEN 4 * pos ELSE 0 END::DOUBLE AS longitudinal_distance FROM r",
+    "nav_plans": f"WITH {E} SELECT event_id, CASE WHEN k % 2 = 1 THEN 2 ELSE 4 END AS source, 'planner' AS producer, k % 2 = 1 AS is_model_generated, k % 3 = 0 AS force_gt_active, 3000000 AS requested_us, 3000000 AS actual_us, 3 AS n_points, 1000000 AS last_us, round(value + (value + 1) + (value + 2), 6) AS speeds FROM ({PLANS})",
+    "navigation_lines": f"WITH {LINES} SELECT event_id, section, ns, action, CASE section WHEN 'plan' THEN 0.26 ELSE 0.28 END::DOUBLE AS width, n AS n_points, CASE section WHEN 'plan' THEN 0.8 ELSE 0.1 END::DOUBLE AS g, CASE section WHEN 'plan' THEN 1.24 ELSE 0.16 END::DOUBLE AS z FROM line",
+    "navigation_snapshot": f"WITH {LINES} SELECT event_id % 10 AS viewer, ns, event_id AS ingest_seq, action, n AS n_points FROM line WHERE section <> 'model_input' QUALIFY row_number() OVER (PARTITION BY event_id % 10, ns ORDER BY event_id DESC) = 1",
+    "map_counts": f"WITH {MAPS} SELECT label::VARCHAR AS scene_id, map_id, 1 AS source_revision, 'map' AS frame_id, count(*) + 1.0::DOUBLE AS extent_x, count(*) AS n_lanes, count(*) FILTER (vec_id % 3 = 0) AS n_road_edges, count(*) FILTER (vec_id % 4 = 0) AS n_traffic_signs, count(*) FILTER (vec_id % 5 = 0) AS n_wait_lines FROM m GROUP BY label, map_id",
+    "map_marker_rows": f"WITH {MAPS} SELECT map_id, 0 AS layer, -1 AS at, 0 AS part, '' AS ns, '' AS id, 'DELETEALL' AS action, 0 AS n_points FROM ok UNION ALL " + " UNION ALL ".join(element(*x) for x in ((1, 0, "map/lane_centerlines", 3, 1), (2, 0, "map/lane_left_boundaries", 2, 1), (3, 0, "map/road_edges", 2, 3), (4, 0, "map/wait_lines/stop", 2, 5), (5, 0, "map/traffic_signs", 1, 4), (5, 1, "map/traffic_sign_labels", 1, 4))),
+    "map_signs": f"WITH {MAPS} SELECT map_id, row_number() OVER (PARTITION BY map_id ORDER BY vec_id) - 1 AS at, 'S' || label || chr(10) || '#' || vec_id AS text, round(embedding[1]::DOUBLE, 6) AS x, round(embedding[3]::DOUBLE + 0.04::DOUBLE, 6) AS sphere_z, round(embedding[3]::DOUBLE + 0.74::DOUBLE, 6) AS label_z FROM m WHERE vec_id % 4 = 0",
+    "map_lane_links": f"WITH {MAPS} SELECT map_id, vec_id::VARCHAR AS lane_id, 'successor_ids' AS relation, (vec_id + 1)::VARCHAR AS other_id FROM m",
+    "map_client_polls": f"""WITH {E}, b AS (SELECT *, coalesce((event_type <> lag(event_type) OVER w OR k % 3 <> lag(k % 3) OVER w)::INT, 0) AS b FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT user_id, us, 1 + sum(b) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS revision FROM b),
+t AS (SELECT user_id, unnest(generate_series(min(us) - {DAY}, max(us) - {DAY}, {3 * DAY})) AS tick_us FROM e GROUP BY user_id), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY tick_us) - 1 AS tick FROM t),
+a AS (SELECT n.*, r.revision FROM n ASOF LEFT JOIN r ON n.user_id = r.user_id AND n.tick_us >= r.us)
+SELECT user_id, tick, tick_us, revision, CASE WHEN revision IS NULL THEN 'none' WHEN revision = lag(revision) OVER (PARTITION BY user_id ORDER BY tick) THEN 'republish' ELSE 'publish' END AS action FROM a""",
+    "gt_cache": f"""WITH {E}, g AS (SELECT *, CASE WHEN k % 3 <> 0 THEN k % 2 ELSE 1 END AS v FROM e WHERE k % 7 > 1), b AS (SELECT *, coalesce((event_type <> lag(event_type) OVER w OR v <> lag(v) OVER w)::INT, 0) AS b, row_number() OVER w AS n FROM g WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT event_id, CASE WHEN b = 1 OR n = 1 THEN 'cached' ELSE 'duplicate' END AS status, 1 + sum(b) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS revision, us AS start_us, us + 2 + k AS end_us FROM b
+UNION ALL SELECT event_id, 'invalid', NULL, CASE WHEN k % 7 = 1 THEN us END, CASE WHEN k % 7 = 1 THEN us END FROM e WHERE k % 7 <= 1""",
+    "gt_future_ticks": f"""WITH {E}, s AS (SELECT user_id, min(us) AS s, max(us) AS t FROM e GROUP BY user_id), t AS (SELECT user_id, t, unnest(generate_series(s, t, {7 * DAY})) AS ref FROM s WHERE user_id % 11 <> 0), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ref) - 1 AS tick, least(ref + {7 * DAY}, t) AS till FROM t),
+g AS (SELECT *, generate_series(ref, till, {HOUR6}) AS g FROM n), h AS (SELECT *, CASE WHEN g[-1] <> till THEN list_append(g, till) ELSE g END AS h FROM g),
+b AS (SELECT h.*, p.us AS bu, p.value AS bx FROM h ASOF LEFT JOIN e p ON h.user_id = p.user_id AND h.till >= p.us), c AS (SELECT b.*, p.us AS au, p.value AS ax FROM b ASOF LEFT JOIN e p ON b.user_id = p.user_id AND b.till <= p.us)
+SELECT user_id, tick, ref AS tick_us, len(h) AS n_points, till - ref AS last_us, round(CASE WHEN bu = till THEN bx ELSE bx + (till - bu)::DOUBLE / (au - bu) * (ax - bx) END, 6) AS last_x FROM c""",
+    "executed_path_ticks": f"""WITH {E}, l AS (SELECT user_id, min(us) AS s, max(us) AS t, {greedy('list(us ORDER BY event_id)', HOUR6)} AS p FROM e GROUP BY user_id), k AS (SELECT user_id, p, unnest(generate_series(s, t, {5 * DAY})) AS tick_us FROM l),
+q AS (SELECT user_id, tick_us, (list_filter(p, lambda x: x <= tick_us))[-20:] AS q FROM k) SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY tick_us) - 1 AS tick, tick_us, q[1] AS reference_us, q[-1] - q[1] AS duration_us, len(q) AS n_points FROM q""",
+    "frame_segments": f"WITH {E}, f AS (SELECT event_id, user_id, us, CASE WHEN event_id // 7 % 2 = 0 THEN 'map' ELSE 'odom' END AS f FROM e WHERE k % 20 <> 0), b AS (SELECT *, coalesce((us < lag(us) OVER w OR f <> lag(f) OVER w)::INT, 0) AS b FROM f WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT event_id, sum(b) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS segment FROM b",
+    "duration_rounding": f"WITH {E}, s AS (SELECT event_id, (k * 2 + 1) * 0.5::DOUBLE AS s FROM e) SELECT event_id, round_even(s / 1000000000::DOUBLE * 1000000000::DOUBLE, 0)::BIGINT AS ns, round_even(s * 1000000::DOUBLE, 0)::BIGINT AS us FROM s",
+    "framed_packets": f"WITH {E}, f AS (SELECT *, event_id // 20 AS stream, min(CASE WHEN k % 25 = 0 THEN event_id END) OVER (PARTITION BY event_id // 20) AS stop FROM e) SELECT stream, row_number() OVER (PARTITION BY stream ORDER BY event_id) - 1 AS at, '{{\"n\":' || k || '}}' AS payload, k % 4 AS image_bytes FROM f WHERE stop IS NULL OR event_id < stop",
+    "frame_tree": "SELECT 'base_to_' || child AS joint, 'fixed' AS kind, 'base_link' AS parent, child, x::DOUBLE AS x, y::DOUBLE AS y, z::DOUBLE AS z FROM (VALUES ('vehicle_body', 0, 0, 0), ('vehicle_cabin', 0, 0, 0), ('wheel_front_left', 2.8, 0.94, 0.36), ('wheel_front_right', 2.8, -0.94, 0.36), ('wheel_rear_left', 0, 0.94, 0.36), ('wheel_rear_right', 0, -0.94, 0.36)) t(child, x, y, z)",
+    "camera_static_transforms": f"WITH {CALIBRATIONS} SELECT camera, 'base_link' AS parent, camera || '_optical' AS child, round(k / 2.0::DOUBLE + 2, 6) AS x, round(k / 2.0::DOUBLE, 6) AS qz FROM c WHERE camera <> 'unknown' AND k % 4 <> 3",
+    "camera_calibration_json": f"""WITH {CALIBRATIONS}, p AS (SELECT camera, k % 4 AS i, '{{' || chr(10) || '        "w": 1.0,' || chr(10) || '        "x": 0.0,' || chr(10) || '        "y": 0.0,' || chr(10) || '        "z": ' || (k / 2.0::DOUBLE) || chr(10) || '      }}' AS q,
+  '{{' || chr(10) || '        "x": ' || (k / 2.0::DOUBLE + 2) || ',' || chr(10) || '        "y": ' || (k / 2.0::DOUBLE + 1) || ',' || chr(10) || '        "z": ' || (k / 2.0::DOUBLE) || chr(10) || '      }}' AS v FROM c),
+o AS (SELECT camera, CASE i WHEN 0 THEN '"quat": ' || q || ',' || chr(10) || '      "vec": ' || v WHEN 1 THEN '"rotation": ' || q || ',' || chr(10) || '      "translation": ' || v WHEN 2 THEN '"orientation": ' || q || ',' || chr(10) || '      "vec3": ' || v ELSE '"position": ' || v END AS pose FROM p)
+SELECT camera AS camera_logical_id, '{{' || chr(10) || '  "available_camera": {{' || chr(10) || '    "rig_to_camera": {{' || chr(10) || '      ' || pose || chr(10) || '    }}' || chr(10) || '  }}' || chr(10) || '}}' AS json FROM o""",
 }
+ORACLE["actor_history_packets"] = f"SELECT event_id, max(actual_us) AS actual_us, count(*) AS n_tracks, 1 AS source, {2 * DAY} AS requested_us, {HOUR12} AS interval_us FROM ({ORACLE['actor_history']}) GROUP BY event_id"

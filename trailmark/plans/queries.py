@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import codes, geometry, timeutil
-from ..operators import actors, camera, ego, ingest, markers, navigation, recording, series, vectormap
+from ..operators import actors, camera, ego, ingest, markers, navigation, recording, series, ticks, vectormap
+from ..sources import framed, robot
 from . import adapters
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
@@ -93,10 +94,13 @@ def actor_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actors.prediction(_futures(spark, sf_dir), CONFIG).select("event_id", F.size("points").alias("n_points"), "source", "producer", "is_model_generated")
 
 
+def _track_rows(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return adapters.events(spark, sf_dir).select("user_id", F.col("event_id").alias("ingest_seq"), F.col("event_type").alias("track_id"), "stamp_us", F.col("stamp_us").alias("ref_us"), *more)
+
+
 @query
 def actor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = adapters.events(spark, sf_dir)
-    rows = e.select("user_id", F.col("event_id").alias("ingest_seq"), F.col("event_type").alias("track_id"), "stamp_us", F.col("stamp_us").alias("ref_us"))
+    rows = _track_rows(spark, sf_dir)
     out = actors.history(rows, rows.select("user_id", "ingest_seq", "ref_us"), CONFIG, by=["user_id"])
     return out.select(F.col("ingest_seq").alias("event_id"), "track_id", F.size("points").alias("n_points"), F.get("points", F.lit(0))["t"].alias("first_us"), F.element_at("points", -1)["t"].alias("last_us"), "actual_us")
 
@@ -232,10 +236,222 @@ def actor_arrows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markers.arrows(adapters.actors(adapters.events(spark, sf_dir))).select(F.col("ingest_seq").alias("event_id"), r6("start.z").alias("z"), r6("end.x").alias("x"), r6("end.y").alias("y"))
 
 
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return actors.snapshots(ingest.parse(adapters.actor_packets(adapters.events(spark, sf_dir)), "actors")[0])
+
+
+@query
+def actor_snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every actor of every accepted packet, in the packet's order."""
+    return _snapshots(spark, sf_dir).select("ingest_seq", "ref_us", "pose_frame_id", "at", "track_id", "label_class", "is_static", r6("dimensions.x").alias("dx"), r6("state.position.x").alias("x"), r6("state.speed").alias("speed"))
+
+
 @query
 def actor_marker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids are CRC-32, which the oracle lacks."""
-    return markers.actor_markers(adapters.actors(adapters.events(spark, sf_dir)))
+    """Markers of each packet in order; their ids are in ``marker_ids``."""
+    rows = _snapshots(spark, sf_dir).select("ingest_seq", F.col("at").alias("ordinal"), "track_id", "label_class", "dimensions", "state.position", "state.orientation", "state.linear_velocity", "state.speed")
+    return markers.actor_markers(rows).drop("id")
+
+
+@query
+def marker_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.events(spark, sf_dir).select("event_id", codes.stable_id(F.col("user_id").cast("string"), F.lit("box")).alias("box_id"), codes.stable_id(F.lit("map/road_edges"), F.col("event_id").cast("string")).alias("edge_id"))
+
+
+@query
+def actor_stale_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _track_rows(spark, sf_dir)
+    return actors.stale_tracks(rows, rows.select("user_id", "ingest_seq", "ref_us"), CONFIG, by=["user_id"]).select("user_id", "track_id", "last_seen_us", F.col("ingest_seq").alias("event_id"), "ref_us")
+
+
+@query
+def actor_history_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the newest sample inside the history says of its track."""
+    rows = _track_rows(spark, sf_dir, "value")
+    return actors.history(rows, rows.select("user_id", "ingest_seq", "ref_us"), CONFIG, by=["user_id"], meta=["value"]).select(F.col("ingest_seq").alias("event_id"), "track_id", r6("value").alias("value"))
+
+
+@query
+def actor_history_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _track_rows(spark, sf_dir)
+    packets = rows.select("user_id", "ingest_seq", "ref_us")
+    out = actors.packet_duration(actors.history(rows, packets, CONFIG, by=["user_id"]), packets, ["user_id", "ingest_seq"])
+    return actors.header(out, CONFIG, "HISTORY").select(F.col("ingest_seq").alias("event_id"), "actual_us", "n_tracks", "source", "requested_us", "interval_us")
+
+
+@query
+def actor_future_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of packets with an odd number are left out, so that these have a span of 0."""
+    packets = adapters.events(spark, sf_dir).select("event_id", F.col("stamp_us").alias("ref_us"))
+    out = actors.packet_duration(_futures(spark, sf_dir).where("event_id % 2 = 0"), packets, ["event_id"])
+    return actors.header(out, CONFIG, "FUTURE").select("event_id", "actual_us", "n_tracks", "source", "is_model_generated", "requested_us", "interval_us")
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    good, bad = ingest.parse(adapters.navigation_packets(adapters.events(spark, sf_dir)), "navigation")
+    return navigation.judge(good), bad
+
+
+@query
+def nav_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, bad = _judged(spark, sf_dir)
+    flags = good.select(F.col("ingest_seq").alias("event_id"), F.lit("ok").alias("reason"), "emit_map", "emit_input", "emit_plan")
+    return flags.unionByName(bad.select(F.col("ingest_seq").alias("event_id"), "reason"), allowMissingColumns=True)
+
+
+def _routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = _judged(spark, sf_dir)
+    first, second = (navigation.routes(good.where(f), c, "producer").withColumn("section", F.lit(n)) for f, c, n in (("emit_map", "route_map", "map"), ("emit_input", "route_model_input", "model_input")))
+    return first.unionByName(second)
+
+
+@query
+def nav_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _routes(spark, sf_dir).select("ingest_seq", "section", "generator_type", "sequence", "expected_point_count", F.posexplode("points").alias("at", "p"))
+    return rows.select(F.col("ingest_seq").alias("event_id"), "section", F.col("generator_type").alias("generator"), "sequence", F.col("expected_point_count").alias("expected"), "at", "p.valid", r6("p.position.x").alias("x"), "p.longitudinal_distance")
+
+
+@query
+def nav_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = _judged(spark, sf_dir)
+    rows = navigation.plans(good.where("emit_plan"))
+    speed = F.aggregate("points", F.lit(0.0), lambda a, p: a + p["speed"])
+    return rows.select(F.col("ingest_seq").alias("event_id"), "source", "producer", "is_model_generated", "force_gt_active", "requested_us", "actual_us", F.size("points").alias("n_points"), F.get("points", F.lit(2))["time_from_reference_us"].alias("last_us"), r6(speed).alias("speeds"))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = _judged(spark, sf_dir)
+    route = markers.navigation_line(_routes(spark, sf_dir), "route").select("ingest_seq", "section", "ns", "action", "width", "color", "line")
+    plan = markers.navigation_line(navigation.plans(good.where("emit_plan")), "model_plan").select("ingest_seq", F.lit("plan").alias("section"), "ns", "action", "width", "color", "line")
+    return route.unionByName(plan)
+
+
+@query
+def navigation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z = F.get("line", F.lit(0))["z"]
+    return _lines(spark, sf_dir).select(F.col("ingest_seq").alias("event_id"), "section", "ns", "action", "width", F.size("line").alias("n_points"), "color.g", r6(z).alias("z"))
+
+
+@query
+def navigation_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retained line of each layer, for ten viewers."""
+    rows = _lines(spark, sf_dir).where("section <> 'model_input'").select((F.col("ingest_seq") % 10).alias("viewer"), "ns", "ingest_seq", "action", F.size("line").alias("n_points"))
+    return ingest.latest(rows, ["viewer", "ns"])
+
+
+def _maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectormap.valid_maps(ingest.parse(adapters.vector_maps(spark, sf_dir), "map")[0])
+
+
+@query
+def map_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    maps = _maps(spark, sf_dir).withColumn("extent_x", F.col("extent.maximum.x") - F.col("extent.minimum.x"))
+    return vectormap.element_counts(maps, ["scene_id", "map_id", "source_revision", "frame_id", "extent_x"])
+
+
+@query
+def map_marker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markers.map_markers(_maps(spark, sf_dir), ["map_id"])
+
+
+@query
+def map_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markers.signs(vectormap.elements(_maps(spark, sf_dir), "traffic_signs", ["map_id"])).select("map_id", "at", "text", r6("sphere.x").alias("x"), r6("sphere.z").alias("sphere_z"), r6("label.z").alias("label_z"))
+
+
+@query
+def map_lane_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectormap.lane_edges(vectormap.elements(_maps(spark, sf_dir), "lanes", ["map_id"]), ["map_id"])
+
+
+@query
+def map_client_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients that ask every three days, from a day before the first map on."""
+    e = adapters.events(spark, sf_dir)
+    versions = _map_versions(spark, sf_dir).join(e.select(F.col("event_id").alias("ingest_seq"), "stamp_us"), "ingest_seq")
+    polls = ticks.ticks(e.select("user_id", (F.col("stamp_us") - DAY).alias("stamp_us")), 3 * DAY, ["user_id"])
+    return ticks.map_polls(polls, vectormap.cache(versions, by=["user_id"]), ["user_id"]).select("user_id", "tick", "tick_us", "revision", "action")
+
+
+@query
+def gt_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings as they come: some empty, some whose times don't rise, some again."""
+    k, t = F.col("k"), F.col("stamp_us")
+    points = F.when(k % 7 == 0, F.array().cast("array<bigint>")).when(k % 7 == 1, F.array(t, t)).otherwise(F.array(t, t + 1, t + 2 + k))
+    rows = adapters.events(spark, sf_dir).select("user_id", F.col("event_id").alias("ingest_seq"), F.col("event_type").alias("scene_id"), F.when(k % 3 != 0, k % 2).alias("source_revision"), F.transform(points, lambda x: F.struct(x.alias("timestamp_us"))).alias("points"))
+    return recording.cache(rows, by=["user_id"]).select(F.col("ingest_seq").alias("event_id"), "status", "revision", "start_us", "end_us")
+
+
+@query
+def gt_future_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a client publishes that asks every week."""
+    e = adapters.events(spark, sf_dir)
+    config = recording.FutureConfig(future_us=7 * DAY, interval_us=6 * HOUR)
+    asked = ticks.ticks(e, 7 * DAY, ["user_id"]).withColumn("request_id", F.col("user_id") * 1000 + F.col("tick"))
+    held = e.where("user_id % 11 <> 0").groupBy("user_id").agg(F.lit(1).cast("long").alias("revision"), F.min("stamp_us").alias("start_us"), F.max("stamp_us").alias("end_us"))
+    status = recording.answer_status(recording.tick_requests(asked, config), held, on=["user_id"])
+    rows = recording.answers(status, e.select("user_id", "stamp_us", adapters.motion(e).alias("point")), on=["user_id"])
+    points = rows.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("offset_us", F.col("point.position.x").alias("x")))).alias("points"))  # as many as a request may have
+    answered = recording.usable(status.join(points, "request_id", "left"))
+    last = F.element_at("points", -1)
+    return answered.select("user_id", "tick", F.col("reference_us").alias("tick_us"), F.size("points").alias("n_points"), last["offset_us"].alias("last_us"), r6(last["x"]).alias("last_x"))
+
+
+@query
+def executed_path_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path as published every five days."""
+    e = adapters.events(spark, sf_dir)
+    rows = adapters.ego(e).select("user_id", "ingest_seq", "stamp_us", *ego.FRAMES)
+    return ticks.path_snapshots(rows, ticks.ticks(e, 5 * DAY, ["user_id"]), ego.PathConfig(interval_us=6 * HOUR, max_points=20), ["user_id"]).drop("segment")
+
+
+@query
+def frame_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of each user where the frame changes, and rows without one."""
+    rows = adapters.ego(adapters.events(spark, sf_dir)).withColumn("pose_frame_id", F.when(F.col("k") % 20 == 0, "").when(F.expr("(ingest_seq div 7) % 2") == 0, "map").otherwise("odom"))
+    return ego.path_segments(rows.select("user_id", "ingest_seq", "stamp_us", *ego.FRAMES), by=["user_id"]).select(F.col("ingest_seq").alias("event_id"), "segment")
+
+
+@query
+def duration_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = (F.col("k") * 2 + 1) * 0.5
+    return adapters.events(spark, sf_dir).select("event_id", timeutil.nanoseconds_from_seconds(s / 1e9).alias("ns"), timeutil.from_seconds(s).alias("us"))
+
+
+@query
+def framed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = framed.decode_frames(adapters.framed_bytes(adapters.events(spark, sf_dir)), "raw", ["stream"], images=True)
+    return rows.select("stream", "at", "payload", F.octet_length("data").alias("image_bytes"))
+
+
+@query
+def frame_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vehicle's joints; the driver's tables have no part in it."""
+    rows = robot.joints(spark.createDataFrame([(robot.vehicle_description(),)], "xml string"))
+    return rows.select("joint", "kind", "parent", "child", *(F.get("xyz", F.lit(i)).alias(c) for i, c in enumerate("xyz")))
+
+
+def _calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    half = k / 2.0
+    shift = F.struct(half.alias("z"), (half + 1).alias("y"), (half + 2).alias("x"))
+    turned = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), half.alias("z"))
+    names = [("vec", "quat"), ("translation", "rotation"), ("vec3", "orientation"), ("position", None)]
+    pose = F.struct(*(F.when(k % 4 == i, shift).alias(v) for i, (v, _) in enumerate(names)), *(F.when(k % 4 == i, turned).alias(q) for i, (_, q) in enumerate(names) if q))
+    meta = F.struct(F.struct(pose.alias("rig_to_camera")).alias("available_camera"))
+    camera_of = F.element_at(F.array(*(F.lit(c) for c in (*camera.CAMERAS, "unknown"))), (F.col("event_id") % 6 + 1).cast("int"))
+    frames = adapters.events(spark, sf_dir).select(camera_of.alias("camera_logical_id"), F.col("event_id").alias("ingest_seq"), F.when(k > 50, meta).alias("camera_metadata"))
+    return camera.calibration_once(frames)
+
+
+@query
+def camera_static_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return camera.static_transforms(_calibrations(spark, sf_dir), camera.camera_table(spark)).select("camera", "parent", "child", r6("translation.x").alias("x"), r6("rotation.z").alias("qz"))
+
+
+@query
+def camera_calibration_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return camera.calibration_json(_calibrations(spark, sf_dir))
 
 
 @query

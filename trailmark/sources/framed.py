@@ -1,7 +1,7 @@
 """Length-prefixed packets: decoding at rest, and live from a TCP or UDP port.
 
 A frame is a 4-byte big-endian length and JSON. A camera frame has, behind its JSON, an 8-byte
-length and the bytes of the image. A length that isn't positive ends the stream.
+length and the bytes of the image. A length that isn't positive ends the connection.
 """
 
 from __future__ import annotations
@@ -16,46 +16,74 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 
-def frames(raw: bytes, *, images: bool = False) -> Iterator[tuple[str, bytes | None]]:
-    """The frames of a byte string; an unfinished one at its end is left out."""
+class Closed(ValueError):
+    """A length that isn't positive: the sender is cut off."""
+
+
+def packets(raw: bytes, *, images: bool = False) -> Iterator[tuple[str, bytes | None, int]]:
+    """The frames of a byte string and where each ends; an unfinished one at the end is left out. Raises :class:`Closed`."""
     at = 0
     while at + 4 <= len(raw):
         (size,) = struct.unpack_from("!I", raw, at)
-        if size == 0 or at + 4 + size > len(raw):
+        if size == 0:
+            raise Closed("a frame of no length")
+        if at + 4 + size > len(raw):
             return
-        text, at = raw[at + 4 : at + 4 + size].decode("utf-8", "replace"), at + 4 + size
-        image = None
+        text, end, image = raw[at + 4 : at + 4 + size], at + 4 + size, None
         if images:
-            if at + 8 > len(raw):
+            if end + 8 > len(raw):
                 return
-            (size,) = struct.unpack_from("!Q", raw, at)
-            if at + 8 + size > len(raw):
+            (size,) = struct.unpack_from("!Q", raw, end)
+            if end + 8 + size > len(raw):
                 return
-            image, at = raw[at + 8 : at + 8 + size], at + 8 + size
-        yield text, image
+            image, end = raw[end + 8 : end + 8 + size], end + 8 + size
+        at = end
+        yield text.decode("utf-8", "replace"), image, at
 
 
-def read_captures(spark: SparkSession, path: str, *, images: bool = False) -> DataFrame:
-    """Packets of capture files (any store that Spark reads), one file a task: path, at, payload, data."""
+def frames(raw: bytes, *, images: bool = False) -> Iterator[tuple[str, bytes | None]]:
+    """The frames of a recorded byte string, up to a length that isn't positive."""
+    try:
+        for text, image, _ in packets(raw, images=images):
+            yield text, image
+    except Closed:
+        return
+
+
+def decode_frames(df: DataFrame, column: str, keys: list[str], *, images: bool = False) -> DataFrame:
+    """Packets of byte strings in a column: keys, at, payload, data."""
+    kinds = dict(df.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = list(frames(raw, images=images))
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(range(len(rows)), pa.int64()), pa.array([t for t, _ in rows], pa.string()), pa.array([i for _, i in rows], pa.binary())], names=["path", "at", "payload", "data"])
+            for i, raw in enumerate(batch.column(len(keys)).to_pylist()):
+                rows = list(frames(raw or b"", images=images))
+                own = [batch.column(c).take(pa.array([i] * len(rows), pa.int64())) for c in range(len(keys))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(range(len(rows)), pa.int64()), pa.array([t for t, _ in rows], pa.string()), pa.array([d for _, d in rows], pa.binary())], names=[*keys, "at", "payload", "data"])
+
+    return df.select(*keys, column).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keys) + ", at long, payload string, data binary")
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, at long, payload string, data binary")
+
+def read_captures(spark: SparkSession, path: str, *, images: bool = False) -> DataFrame:
+    """Packets of capture files (any store that Spark reads), one file a task: path, at, payload, data."""
+    return decode_frames(spark.read.format("binaryFile").load(path).select("path", "content"), "content", ["path"], images=images)
 
 
 class _Reader(SimpleDataSourceStreamReader):
-    """Buffers what a port delivers; offsets count packets, so a batch can be read again until it is committed."""
+    """Buffers what a port delivers; offsets count packets, so a batch can be read again until it is committed.
+
+    What isn't committed lives in the process that holds the port: senders send again after a
+    restart, and a batch that a lost process had read is refused rather than made up.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.udp = options.get("protocol", "tcp") == "udp"
+        self.images = options.get("images", "false") == "true"
         self.most = int(options.get("maxPacketsPerTrigger", "8"))
         self.address = (options.get("host", "127.0.0.1"), int(options["port"]))
-        self.socket, self.client, self.raw = None, None, b""
-        self.packets: dict[int, str] = {}
+        self.socket = None
+        self.clients: dict[socket.socket, bytearray] = {}
+        self.packets: dict[int, tuple[str, bytes | None]] = {}
         self.next = 0
 
     def _listen(self) -> None:
@@ -66,46 +94,59 @@ class _Reader(SimpleDataSourceStreamReader):
             self.socket.bind(self.address)
             self.socket.setblocking(False)
             if not self.udp:
-                self.socket.listen(1)
+                self.socket.listen(8)
 
     def __getstate__(self) -> dict:
         """What goes to tasks: the port stays with the process that holds it."""
-        return {"packets": self.packets}
+        return {"packets": self.packets, "images": self.images}
 
     def initialOffset(self) -> dict:  # noqa: N802
         return {"n": 0}
 
-    def _add(self, text: str) -> None:
-        self.packets[self.next] = text
+    def _add(self, text: str, image: bytes | None = None) -> None:
+        self.packets[self.next] = (text, image)
         self.next += 1
 
+    def _receive(self, client: socket.socket) -> None:
+        """Read what a client has sent, and take the whole frames out; a bad length or an end closes it."""
+        held, ended = self.clients[client], False
+        while not ended and select.select([client], [], [], 0)[0]:
+            got = client.recv(1 << 16)
+            held += got
+            ended = not got
+        done = 0
+        try:
+            for text, image, done in packets(bytes(held), images=self.images):  # noqa: B007
+                self._add(text, image)
+        except Closed:
+            ended = True
+        del held[:done]
+        if ended:
+            client.close()
+            del self.clients[client]
+
     def _poll(self) -> None:
         self._listen()
-        if self.udp:
-            while select.select([self.socket], [], [], 0)[0]:
+        while select.select([self.socket], [], [], 0)[0]:
+            if self.udp:
                 self._add(self.socket.recv(65535).decode("utf-8", "replace"))
-            return
-        if self.client is None and select.select([self.socket], [], [], 0)[0]:
-            self.client = self.socket.accept()[0]
-        while self.client is not None and select.select([self.client], [], [], 0)[0]:
-            got = self.client.recv(1 << 16)
-            if not got:
-                self.client.close()
-                self.client = None
-            self.raw += got
-        done = 0
-        for text, _ in frames(self.raw):
-            self._add(text)
-            done += 4 + len(text.encode())
-        self.raw = self.raw[done:]
+            else:
+                self.clients[self.socket.accept()[0]] = bytearray()
+        for client in list(self.clients):
+            self._receive(client)
+
+    def _rows(self, start: int, end: int) -> Iterator[tuple]:
+        if any(i not in self.packets for i in range(start, end)):
+            raise RuntimeError(f"packets {start} to {end} were received by a process that is gone")
+        return iter([(i, *self.packets[i]) if self.images else (i, self.packets[i][0]) for i in range(start, end)])
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         self._poll()
-        end = min(self.next, start["n"] + self.most)
-        return iter([(i, self.packets[i]) for i in range(start["n"], end)]), {"n": end}
+        end = max(start["n"], min(self.next, start["n"] + self.most))
+        return self._rows(start["n"], end), {"n": end}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
-        return iter([(i, self.packets[i]) for i in range(start["n"], end["n"])])
+        return self._rows(start["n"], end["n"])
 
     def commit(self, end: dict) -> None:
         for i in [i for i in self.packets if i < end["n"]]:
@@ -113,14 +154,14 @@ class _Reader(SimpleDataSourceStreamReader):
 
 
 class FramedSource(DataSource):
-    """``spark.readStream.format("framed")`` with ``port``, ``protocol`` (tcp, udp), ``host``, ``maxPacketsPerTrigger``."""
+    """``spark.readStream.format("framed")`` with ``port``, ``protocol`` (tcp, udp), ``host``, ``images``, ``maxPacketsPerTrigger``."""
 
     @classmethod
     def name(cls) -> str:
         return "framed"
 
     def schema(self) -> str:
-        return "ingest_seq long, payload string"
+        return "ingest_seq long, payload string" + (", data binary" if self.options.get("images", "false") == "true" else "")
 
     def simpleStreamReader(self, schema) -> _Reader:  # noqa: ANN001, N802
         return _Reader(dict(self.options))

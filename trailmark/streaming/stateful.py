@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.ego import FRAMES
 from ..operators.navigation import gate_steps
 
 
@@ -20,40 +21,44 @@ def _ordered(batches: Iterable[pd.DataFrame]) -> pd.DataFrame:
 
 
 def path_points(ego: DataFrame, key: str, interval_us: int) -> DataFrame:
-    """Rows admitted to the path of each ``key``, with ``segment``. ``ego``: key, ingest_seq, stamp_us."""
+    """Rows admitted to the path of each ``key``, with ``segment``. ``ego``: key, ingest_seq, stamp_us, and maybe frames.
+
+    A segment ends when time falls back behind the last row received, or a frame changes; a row with an empty frame is left out.
+    """
+    frames = [c for c in FRAMES if c in ego.columns]
 
     def step(group: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        received, stored, segment = state.get if state.exists else (None, None, 0)
+        received, stored, segment, held = state.get if state.exists else (None, None, 0, None)
         rows = []
         for row in _ordered(batches).itertuples():
-            if received is not None and row.stamp_us < received:
+            own = [getattr(row, c) for c in frames]
+            if not all(own):
+                continue
+            if received is not None and (row.stamp_us < received or own != list(held)):
                 stored, segment = None, segment + 1
-            received = row.stamp_us
+            received, held = row.stamp_us, own
             if stored is None or interval_us <= 0 or row.stamp_us - stored >= interval_us:
                 stored = row.stamp_us
                 rows.append((group[0], row.ingest_seq, row.stamp_us, segment))
-        state.update((received, stored, segment))
+        if received is not None:
+            state.update((received, stored, segment, held))
         yield pd.DataFrame(rows, columns=[key, "ingest_seq", "stamp_us", "segment"])
 
     kind = dict(ego.dtypes)[key]
-    return ego.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, ingest_seq long, stamp_us long, segment long", "received long, stored long, segment long", "append", GroupStateTimeout.NoTimeout)
+    return ego.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, ingest_seq long, stamp_us long, segment long", "received long, stored long, segment long, frames array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
 def gate(updates: DataFrame, key: str) -> DataFrame:
     """Accepted updates. ``updates``: key, ingest_seq, sequence, reference_us, valid."""
 
     def step(group: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seq, ref = state.get if state.exists else (0, None)
-        first = [{"sequence": seq, "reference_us": ref, "valid": True}] if ref is not None else []
-        rows = first + _ordered(batches).to_dict("records")
-        out = list(gate_steps(iter(rows)))[len(first) :]
-        for row in out:
-            if row["accepted"] and row["valid"]:
-                seq, ref = row["sequence"], row["reference_us"]
-            elif row["rollback"]:
-                seq = 0
+        rows = _ordered(batches)
+        before = state.get if state.exists else None
+        (seq, ref), _, accepted = gate_steps(before, rows["sequence"].tolist(), rows["reference_us"].tolist(), rows["valid"].tolist())
         state.update((int(seq), None if ref is None else int(ref)))
-        yield pd.DataFrame([(group[0], r["ingest_seq"], r["sequence"]) for r in out if r["accepted"]], columns=[key, "ingest_seq", "sequence"])
+        out = rows[accepted][["ingest_seq", "sequence"]]
+        out.insert(0, key, group[0])
+        yield out
 
     kind = dict(updates.dtypes)[key]
     return updates.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, ingest_seq long, sequence long", "sequence long, reference long", "append", GroupStateTimeout.NoTimeout)
