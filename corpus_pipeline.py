@@ -3,7 +3,9 @@
 Every stage works on all rows that the one before kept and returns the columns of ``documents``
 (but the last, which returns packed pieces). :func:`run` applies them one behind the other; a
 caller that writes each stage's result and reads it again gets the same rows. Verdicts are of rows:
-rows that share a doc_id, or have none, are judged each for itself.
+rows that share a doc_id, or have none, are judged each for itself. Null and empty texts have no
+words: the first stage rejects them. Columns that aren't those of ``documents`` are dropped by the
+first stage. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the base rules or the n-gram ratio reject go, each by its own text."""
+    """Rows that the base rules or the n-gram ratio reject go, each by its own text. No row is shuffled."""
     docs = docs.select(*_columns(docs))
     return judge(docs, table(spark, sf_dir, "labels")).where("kept").select("row.*")
 
@@ -66,7 +68,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces in sequences of at most 4,096 tokens."""
+    """Pieces in sequences of at most 4,096 tokens. A document that comes several times is packed as often; (sequence_id, offset) is a piece's own."""
     return pack(docs)
 
 
