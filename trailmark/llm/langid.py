@@ -141,6 +141,7 @@ def training_set(docs: DataFrame, most: int) -> tuple[np.ndarray, list[str]]:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), body], names=["doc_id", "lang", "tf"])
 
     known = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``most`` ids
+    known = known.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # one text a document, so that the ids bound the rows
     found = known.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, tf binary").collect()
     found.sort(key=lambda r: (r["doc_id"], r["lang"], r["tf"]))
     return np.array([np.frombuffer(r["tf"], np.float32) for r in found]).reshape(-1, DIMENSIONS), [r["lang"] for r in found]
