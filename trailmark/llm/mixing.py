@@ -21,6 +21,10 @@ from pyspark.sql.window import Window
 from .shared import stage
 
 
+#: Sources up to which their totals (three columns each) are broadcast.
+MOST_BROADCAST = 100_000
+
+
 def word_count(text: str) -> F.Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
@@ -148,4 +152,6 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float
     placed, sources, used = mixture(docs, weights=weights, most=most, block_words=block_words, row=row)
     taken = used.groupBy("source_key", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     placed = placed.withColumn("start", F.when(F.col("size") > 0, F.col("start")))  # an empty document begins where the next one does
-    return placed.join(taken, ["source_key", "start"], "left").join(F.broadcast(sources), "source_key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), *(["row"] if row else []))
+    if sources.count() <= MOST_BROADCAST:
+        sources = F.broadcast(sources)
+    return placed.join(taken, ["source_key", "start"], "left").join(sources, "source_key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), *(["row"] if row else []))

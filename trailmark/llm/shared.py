@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests on one machine), a temporary one is made and set.
+    Only where the session names none and runs on one machine (tests), a temporary one is made and
+    set; a cluster without one is an error, for its executors would write where no one else reads.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="trailmark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
