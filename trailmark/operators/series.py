@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -107,40 +108,41 @@ def admit(df: DataFrame, by: list[str], seq: str, time: str, interval_us: int, *
     names, columns = [f"_by_{c}" for c in by], df.columns
     work = df.withColumn("_chunk", F.floor(F.col(time) / (chunk_us or 4096 * interval_us)))
 
-    def enter(group: pd.DataFrame) -> pd.DataFrame:
-        stamps = np.sort(group["_t"].to_numpy())
+    def enter(group: pa.Table) -> pa.Table:
+        stamps = np.sort(group.column("_t").to_numpy())
         many = int(np.searchsorted(stamps, stamps[0] + interval_us, side="left")) + 1  # no later one can be the first that stays
-        first = group.iloc[[0]][[*names, "_chunk"]].reset_index(drop=True)
-        return first.assign(enter=[stamps[:many].tolist()], leave=[_last_kept(stamps, interval_us)[:many].tolist()])
+        first, lists = group.select([*names, "_chunk"]).slice(0, 1), pa.list_(pa.int64())
+        return first.append_column("enter", pa.array([stamps[:many]], lists)).append_column("leave", pa.array([_last_kept(stamps, interval_us)[:many]], lists))
 
     kinds = ", ".join(f"{n} {dict(df.dtypes)[c]}" for c, n in zip(by, names, strict=True))
     slim = work.select(*(F.col(c).alias(n) for c, n in zip(by, names, strict=True)), "_chunk", F.col(time).alias("_t"))
-    tables = slim.groupBy(*names, "_chunk").applyInPandas(enter, f"{kinds}, _chunk long, enter array<long>, leave array<long>")
+    tables = slim.groupBy(*names, "_chunk").applyInArrow(enter, f"{kinds}, _chunk long, enter array<long>, leave array<long>")
 
-    def chain(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_chunk")
+    def chain(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_chunk")
         last, out = None, []
-        for enter, leave in zip(group["enter"], group["leave"], strict=True):
+        for enter, leave in zip(group.column("enter"), group.column("leave"), strict=True):
+            enter, leave = enter.values.to_numpy(), leave.values.to_numpy()
             at = 0 if last is None else int(np.searchsorted(enter, last + interval_us, side="left"))
-            out.append(enter[at] if at < len(enter) else None)
-            last = leave[at] if at < len(enter) else last
-        return group[[*names, "_chunk"]].rename(columns={"_chunk": "_at"}).assign(_enter=pd.array(out, dtype="Int64"))
+            out.append(int(enter[at]) if at < enter.size else None)
+            last = int(leave[at]) if at < enter.size else last
+        return group.select([*names, "_chunk"]).rename_columns([*names, "_at"]).append_column("_enter", pa.array(out, pa.int64()))
 
-    entries = tables.groupBy(*names).applyInPandas(chain, f"{kinds}, _at long, _enter long").where("_enter IS NOT NULL")
+    entries = tables.groupBy(*names).applyInArrow(chain, f"{kinds}, _at long, _enter long").where("_enter IS NOT NULL")
     same = F.col("_chunk") == F.col("_at")
     for c, n in zip(by, names, strict=True):
         same &= F.col(c).eqNullSafe(F.col(n))
 
-    def thin_out(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(seq, kind="stable")
-        stamps, kept = group[time].to_numpy(), []
-        at, following = int(np.searchsorted(stamps, group["_enter"].iloc[0], side="left")), _next_kept(stamps, interval_us)
+    def thin_out(group: pa.Table) -> pa.Table:
+        group = group.sort_by(seq)
+        stamps, kept = group.column(time).to_numpy(), []
+        at, following = int(np.searchsorted(stamps, group.column("_enter")[0].as_py(), side="left")), _next_kept(stamps, interval_us)
         while at < stamps.size:
             kept.append(at)
             at = int(following[at])
-        return group.iloc[kept][columns]
+        return group.take(pa.array(kept, pa.int64())).select(columns)
 
-    return work.join(entries, same).select(*columns, "_chunk", "_enter").groupBy(*by, "_chunk").applyInPandas(thin_out, df.schema)
+    return work.join(entries, same).select(*columns, "_chunk", "_enter").groupBy(*by, "_chunk").applyInArrow(thin_out, df.schema)
 
 
 def newest(df: DataFrame, by: list[str], time: str, seq: str, *, history_us: int = 0, most: int = 512, latest: str | None = None) -> DataFrame:
