@@ -1,10 +1,11 @@
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
 from trailmark.llm.arrowtext import FOLD, mix, text_slices
-from trailmark.llm.langid import DIMENSIONS, PLAIN, counts, even_share, identify, training_set
+from trailmark.llm.langid import DIMENSIONS, PLAIN, counts, even_share, fit, identify, training_set
 
 WORDS = {"aa": "the of and to in is with that was for".split(), "bb": "der die und das nicht ist mit für über auf".split(), "cc": "el la de que en los por con niño más".split()}
 
@@ -14,22 +15,39 @@ def rows(n=240):
     return [(i, " ".join(rng.choice(WORDS[lang], 30)), lang, "clash") for i in range(n) for lang in [["aa", "bb", "cc"][i % 3]]]
 
 
+def brute_counts(text):
+    want = np.zeros(DIMENSIONS)
+    raw = text.encode()
+    for k in (1, 2, 3):
+        for at in range(len(raw) - k + 1):
+            gram = raw[at : at + k]
+            if all(PLAIN[b] for b in gram):
+                h = 0
+                for j, b in enumerate(gram):
+                    h = int(FOLD[b]) if j == 0 else (h * 31 + int(FOLD[b])) % (1 << 64)
+                want[int(mix(np.array([h], np.uint64))[0]) % DIMENSIONS] += 1
+    return want
+
+
 def test_counts_equal_a_plain_loop():
     texts = ["Ab c", "", "é!x yz", "a"]
     for _, _, data, offsets in text_slices(pa.array(texts)):
         got = counts(data, offsets)
     for i, text in enumerate(texts):
-        want = np.zeros(DIMENSIONS)
-        raw = text.encode()
-        for k in (1, 2, 3):
-            for at in range(len(raw) - k + 1):
-                gram = raw[at : at + k]
-                if all(PLAIN[b] for b in gram):
-                    h = 0
-                    for j, b in enumerate(gram):
-                        h = int(FOLD[b]) if j == 0 else (h * 31 + int(FOLD[b])) % (1 << 64)
-                    want[int(mix(np.array([h], np.uint64))[0]) % DIMENSIONS] += 1
-        assert (got[i] == want).all()
+        assert (got[i] == brute_counts(text)).all()
+
+
+def test_predictions_equal_brute_force(spark):
+    """Every text against every centroid, one by one."""
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows(90)], "doc_id long, text string, lang string")
+    model = fit(*training_set(docs, 3000))
+    got = {r.doc_id: r for r in identify(docs).collect()}
+    for i, text, _, _ in rows(90):
+        v = [math.log1p(n) * w for n, w in zip(brute_counts(text), model.idf.tolist(), strict=True)]
+        size = math.sqrt(sum(x * x for x in v))
+        cosines = [sum(a * b for a, b in zip(v, centre.tolist(), strict=True)) / size for centre in model.centres]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert got[i].lang_pred == model.languages[model.owner[best]] and abs(got[i].score - cosines[best]) < 1e-5
 
 
 def test_accuracy_and_odd_rows(spark):
