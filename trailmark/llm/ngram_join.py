@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .arrowtext import FOLD, U64, mix, span_hashes, text_slices, window_hashes, words
 from .components import components
@@ -283,17 +282,20 @@ def prefix_rows(docs: DataFrame, order: Order, k: int) -> DataFrame:
     return docs.mapInArrow(run, "token long, doc_id long, n long")
 
 
-def shared_tokens(rows: DataFrame) -> DataFrame:
-    """Rows whose ``token`` more than one document has."""
-    of_token = Window.partitionBy("token")
-    both = rows.withColumn("least", F.min("doc_id").over(of_token)).withColumn("most", F.max("doc_id").over(of_token))
-    return both.where("least <> most").drop("least", "most")
+def shared_tokens(rows: DataFrame, by: str) -> DataFrame:
+    """Rows whose ``token`` occurs with more than one value of ``by``.
+
+    The values are aggregated before they are shuffled and a token's rows aren't gathered, so the
+    join may be split where a token is in very many rows.
+    """
+    several = rows.groupBy("token").agg(F.min(by).alias("least"), F.max(by).alias("most")).where("least <> most")
+    return rows.join(several.select("token"), "token")
 
 
 def open_rows(rows: DataFrame) -> DataFrame:
     """Rows of a document whose ``token`` another one has that it may be similar to and wasn't compared with.
 
-    ``rows``: token, doc_id, n, component, ``shared`` (prefix members that any other document has)
+    ``rows``: token, doc_id, n, component, ``shared`` (prefix members that any other component has)
     and ``met_0``... (the min-hashes whose whole group was one block). Two documents need no
     comparison if they are of one component, have a common ``met`` column, or can't reach the
     overlap with the prefix members that they share at most. In a group of over 2,000 all rows stay.
@@ -392,9 +394,10 @@ def near_duplicates(docs: DataFrame, *, k: int = 5) -> DataFrame:
     owners = heads.select("doc_id").distinct().join(joined, "doc_id", "left").join(met, "doc_id", "left")
     owners = stage(owners.select("doc_id", F.coalesce("component", "doc_id").alias("component"), *(F.coalesce(c, F.lit(0)).alias(c) for c in met.columns[1:])), "owners")
 
-    rows = stage(shared_tokens(prefix_rows(docs, order, k)), "prefixes")
+    rows = shared_tokens(prefix_rows(docs, order, k), "doc_id").join(owners, "doc_id")  # classes stand by their heads from here on
+    rows = stage(shared_tokens(stage(rows, "owned"), "component"), "prefixes")  # a group that is joined already needs no tree
     shared = rows.groupBy("doc_id").agg(F.count("*").alias("shared"))
-    rows = stage(open_rows(rows.join(owners.join(shared, "doc_id"), "doc_id")), "open")
+    rows = stage(open_rows(rows.join(shared, "doc_id")), "open")
     paths = rows.groupBy("doc_id", "component", "n").agg(F.collect_list("token").alias("path"))
     pairs = stage(tree_candidates(paths.select(F.explode("path").alias("token"), "doc_id", "component", "n", "path")).distinct(), "pairs")
     more = stage(verified(stage(pair_blocks(pairs), "blocks"), docs, order, k), "links")
