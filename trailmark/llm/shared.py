@@ -29,10 +29,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage in a way that survives the loss of executors, and gives later joins
     plain exchanges on both sides, which adaptive execution can split where a key is hot.
+    These tables stay until the folder is cleared, so they are compressed well.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
