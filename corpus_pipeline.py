@@ -33,8 +33,9 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose number is a ``row`` of ``rows``."""
-    return docs.join(stage(rows.select(F.col("row").alias("row_no")), "kept"), "row_no", "left_semi").select(*_columns(docs))
+    """Rows of ``docs`` whose number is a ``row`` of ``rows``; a merge join at every size."""
+    kept = stage(rows.select(F.col("row").alias("row_no")), "kept")
+    return docs.join(kept.hint("merge"), "row_no", "left_semi").select(*_columns(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +64,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _numbered(docs)
     times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")
     taken = stage(mix(docs, row="row_no").where("taken > 0").select(F.col("row").alias("row_no"), times), "taken")
-    repeated = docs.join(taken, "row_no").withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    repeated = docs.join(taken.hint("merge"), "row_no").withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
     return repeated.select(*_columns(docs))
 
 
