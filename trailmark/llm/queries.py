@@ -14,10 +14,13 @@ from .line_dedup import without_repeats
 from .mixing import mix
 from .ngram_join import near_duplicates
 from .packing import pack
+from .periodic_runs import periodic_runs, repeated_from, summary
 from .quality_rules import judge
 from .shared import table
+from .simhash import near_duplicates as simhash_components
 from .substring_dedup import repeated_passages
 from .token_counts import count_tokens
+from .vector_codes import compress, digest
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +141,28 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def runs_report(docs: DataFrame) -> DataFrame:
+    """Runs of the texts with planted repeats, and digests of all runs and of the collapsed texts."""
+    out = periodic_runs(docs.select("doc_id", repeated_from("doc_id", "text").alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return out.select("doc_id", *summary(), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_report(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = compress(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op6_line_dedup, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_ngram_join, op3_quality_classifier, op4_language_id, op5_quality_rules, op6_line_dedup, op7_exact_dedup, op8_source_mixing, op9_best_fit_packing, op10_token_counts, op11_simhash_near_dedup, op12_periodic_runs, op13_vector_code_compression)}
 
 
 def oracle_sql() -> dict[str, str]:
