@@ -27,9 +27,25 @@ def _columns(docs: DataFrame) -> list[str]:
     return [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns]
 
 
+#: Files that a table may have for their names to be broadcast.
+MOST_FILES = 200_000
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` and ``row_no``; written, so that a row has one number however often it is read."""
-    return stage(docs.select(*_columns(docs), F.monotonically_increasing_id().alias("row_no")), "numbered")
+    """The columns of ``docs`` and ``row_no``, which a row has however often it is read.
+
+    Rows of files are numbered by their file and their place in it, without a copy. Other tables are
+    written with a number.
+    """
+    columns = _columns(docs)
+    relation = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    if relation == "LogicalRelation":
+        named = docs.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        files = sorted(r.file for r in named.select("file").distinct().limit(MOST_FILES + 1).collect())
+        if len(files) <= MOST_FILES:
+            bases = docs.sparkSession.createDataFrame([(f, i << 36) for i, f in enumerate(files)], "file string, base long")
+            return named.join(F.broadcast(bases), "file").select(*columns, (F.col("base") + F.col("at")).alias("row_no"))
+    return stage(docs.select(*columns, F.monotonically_increasing_id().alias("row_no")), "numbered")
 
 
 def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
