@@ -152,16 +152,18 @@ def test_navigation_sections(spark):
 def test_polylines_and_lines(spark):
     lines = spark.createDataFrame([("a", [(0.0, 0.0, 0.0), (1.0, 1.0, 1.0)], [0.1]), ("b", [(0.0, 0.0, 0.0)], [])], "id string, points array<struct<x: double, y: double, z: double>>, headings array<double>")
     assert [r.v for r in lines.orderBy("id").select(vectormap.polyline_valid(F.struct("points", "headings")).alias("v")).collect()] == [False, True]
-    drawn = markers.line_strips(lines, markers.MAP_LAYERS["centerline"]).collect()
+    drawn = markers.line_strips(lines, "centerline").collect()
     assert [(r.id, r.line[1].z, r.marker_id) for r in drawn] == [("a", 1.04, zlib.crc32(b"map/lane_centerlines:a") & 0x7FFFFFFF)]
     walked = navigation_rows(spark)
     assert walked == [("ADD",), ("DELETE",)]
 
 
 def navigation_rows(spark):
-    df = spark.createDataFrame([(1, [(True, (0.0, 0.0, 0.0)), (True, (1.0, 0.0, 0.0))]), (2, [(True, (0.0, 0.0, 0.0)), (False, (1.0, 0.0, 0.0))])], "i int, points array<struct<valid: boolean, position: struct<x: double, y: double, z: double>>>")
+    df = spark.createDataFrame([(1, [(True, (0.0, 0.0, 0.0)), (True, (1.0, 0.0, 0.0))]), (2, [(True, (0.0, 0.0, 0.0)), (False, (1.0, 0.0, 0.0))])], "i int, points array<struct<valid: boolean, position: struct<x: double, y: double, z: double>>>").withColumn("frame_id", F.lit("odom"))
     assert markers.navigation_line(df.where("i = 2").withColumn("points", F.slice("points", 1, 1)), "executed_path").count() == 0
-    return [(r.action,) for r in markers.navigation_line(df, "route").orderBy("i").collect()]
+    out = markers.navigation_line(df, "route").orderBy("i").collect()
+    assert [(r.marker_id, r.ns, r.frame, len(r.line)) for r in out] == [(1, "navigation/route", "odom", 2), (1, "navigation", "map", 0)]
+    return [(r.action,) for r in out]
 
 
 def test_camera(spark):

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
+from pyspark.sql.window import Window
 
 from ..functions.timeutil import history_capacity
 from ..schemas import ACTOR_SOURCES
@@ -42,9 +42,38 @@ def _slot(us: Column, width: int) -> Column:
     return ((us - F.pmod(us, F.lit(width))) / width).cast("long")
 
 
-def _seen(rows: DataFrame, by: list[str], time: str) -> tuple[DataFrame, WindowSpec]:
+def _evicting(spans: DataFrame, packets: DataFrame, config: ActorConfig, by: list[str]) -> DataFrame:
+    """The first packet that comes more than the stale time behind each span's ``last_seen_us``, as ``after`` (ingest_seq, ref_us); null if none does."""
+    first = packets.groupBy(*by, "ref_us").agg(F.min("ingest_seq").alias("ingest_seq"))
+    points = first.select(*by, F.col("ref_us").alias("stamp_us"), F.struct("ingest_seq", "ref_us").alias("point"))
+    return bracket(spans.withColumn("stamp_us", F.col("last_seen_us") + config.stale_us + 1), points, by, chunk_us=max(config.stale_us, 1) * 16).drop("before", "stamp_us")
+
+
+def life_times(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: list[str]) -> DataFrame:
+    """``rows`` with ``life``: it grows where a packet between a track's last row and this one evicted the track, whoever sent it."""
     of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
-    return rows.withColumn("_again", F.col(time).eqNullSafe(F.lag(time).over(of_track))).withColumn("_next", F.lead("ingest_seq").over(of_track)), of_track
+    placed = rows.withColumn("last_seen_us", F.lag("ref_us").over(of_track))
+    own = ["track_id", "ingest_seq"]
+    late = placed.where(F.col("ref_us") - F.col("last_seen_us") > config.stale_us).select(*by, *own, "last_seen_us")
+    evicted = _evicting(late.withColumnRenamed("ingest_seq", "_at"), packets, config, by).where(F.col("after.ingest_seq") < F.col("_at"))
+    evicted = evicted.select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("track_id").alias("_track"), "_at")
+    same = (F.col("track_id") == F.col("_track")) & (F.col("ingest_seq") == F.col("_at"))
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    marked = placed.join(evicted, same, "left").withColumn("life", F.sum(F.col("_at").isNotNull().cast("int")).over(of_track.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.select(*rows.columns, "life")
+
+
+def rings(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: list[str], time: str, meta: list[str] | None = None) -> DataFrame:
+    """Each row with ``ring``: the samples in its track's buffer behind it, oldest first. An evicted track starts with an empty one."""
+    living = life_times(rows, packets, config, by=by)
+    of_life = Window.partitionBy(*by, "track_id", "life").orderBy("ingest_seq")
+    seen = living.withColumn("_again", F.col(time).eqNullSafe(F.lag(time).over(of_life)) & F.lag("ingest_seq").over(of_life).isNotNull())
+    sample = F.struct(F.col(time).alias("t"), "ingest_seq", *(meta or []))
+    # the place among the buffered samples; a row that isn't buffered has that of the last one
+    seen = seen.withColumn("_place", F.sum((~F.col("_again")).cast("int")).over(of_life.rowsBetween(Window.unboundedPreceding, 0)))
+    newest = Window.partitionBy(*by, "track_id", "life").orderBy("_place").rangeBetween(-(config.capacity - 1), 0)
+    return seen.withColumn("ring", F.collect_list(F.when(~F.col("_again"), sample)).over(newest)).drop("_again", "_place")
 
 
 def history(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: list[str] | None = None, time: str = "stamp_us", meta: list[str] | None = None) -> DataFrame:
@@ -53,18 +82,15 @@ def history(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: lis
     ``rows``: by, ingest_seq, track_id, ``time``, ref_us; ``packets``: by, ingest_seq, ref_us, and maybe
     others. ``by`` tells rollouts apart: inside one, ref_us doesn't fall. A track also appears in
     packets that it isn't in, until it is stale. A state whose time equals the track's last one is
-    not buffered, but the track counts as seen. ``meta``: columns of ``rows``, returned as they are
+    not buffered, but the track counts as seen. Any packet evicts the tracks that are stale by its
+    time, so a track that comes again after one has lost its samples. ``meta``: columns of ``rows``, returned as they are
     in the newest sample inside the history.
 
     Packets meet the tracks that they may see by slots of the stale time: a track is in two at most.
     """
     by, meta = by or [], meta or []
-    seen, of_track = _seen(rows, by, time)
-    sample = F.struct(F.col(time).alias("t"), "ingest_seq", *meta)
-    ring = F.collect_list(sample).over(of_track.rowsBetween(-(config.capacity - 1), 0))
-    buffered = seen.where(~F.col("_again")).withColumn("ring", ring).select(*by, "track_id", "ingest_seq", "ring")
-    last = F.last("ring", ignorenulls=True).over(of_track.rowsBetween(Window.unboundedPreceding, 0))
-    seen = seen.join(buffered, [*by, "track_id", "ingest_seq"], "left").withColumn("ring", last)
+    of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
+    seen = rings(rows, packets, config, by=by, time=time, meta=meta).withColumn("_next", F.lead("ingest_seq").over(of_track))
     width = max(config.stale_us, 1)
     slots = F.array_distinct(F.array(_slot(F.col("ref_us"), width), _slot(F.col("ref_us") + config.stale_us, width)))
     spans = seen.select(*by, "track_id", F.col("ingest_seq").alias("_from"), "_next", F.col("ref_us").alias("last_seen_us"), "ring", F.explode(slots).alias("_slot"))
@@ -86,10 +112,8 @@ def stale_tracks(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by
     """
     by = by or []
     of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
-    spans = rows.select(*by, "track_id", F.col("ref_us").alias("last_seen_us"), F.lead("ingest_seq").over(of_track).alias("_next"), (F.col("ref_us") + config.stale_us + 1).alias("stamp_us"))
-    first = packets.groupBy(*by, "ref_us").agg(F.min("ingest_seq").alias("ingest_seq"))
-    points = first.select(*by, F.col("ref_us").alias("stamp_us"), F.struct("ingest_seq", "ref_us").alias("point"))
-    out = bracket(spans, points, by, chunk_us=max(config.stale_us, 1) * 16).where("after IS NOT NULL AND (_next IS NULL OR after.ingest_seq < _next)")
+    spans = rows.select(*by, "track_id", F.col("ref_us").alias("last_seen_us"), F.lead("ingest_seq").over(of_track).alias("_next"))
+    out = _evicting(spans, packets, config, by).where("after IS NOT NULL AND (_next IS NULL OR after.ingest_seq < _next)")
     return out.select(*by, "track_id", "last_seen_us", "after.ingest_seq", "after.ref_us")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
 
 from ..functions.codes import image_format
 
@@ -28,24 +31,33 @@ def calibration_once(frames: DataFrame, metadata: str = "camera_metadata") -> Da
     return frames.where(F.col(metadata).isNotNull()).groupBy("camera_logical_id").agg(F.min_by(F.struct(*rest), "ingest_seq").alias("_f")).select("camera_logical_id", "_f.*")
 
 
+def _numbers(pose: Column, names: tuple[str, ...], axes: str) -> Column:
+    """The first of the members ``names`` that is there, as a struct of numbers; null where an axis isn't a number."""
+    member = F.coalesce(*(F.try_variant_get(pose, f"$.{n}", "variant") for n in names))
+    values = {c: F.try_variant_get(member, f"$.{c}", "double") for c in axes}
+    whole = F.lit(True)
+    for v in values.values():
+        whole &= v.isNotNull()
+    return F.when(whole, F.struct(*(v.alias(c) for c, v in values.items())))
+
+
 def static_transforms(calibrations: DataFrame, cameras: DataFrame) -> DataFrame:
-    """base_link to camera; the pose may come under other names."""
-    pose = F.col("camera_metadata.available_camera.rig_to_camera")
-    shift = F.coalesce(*(pose[c] for c in ("vec", "translation", "vec3", "position")))
-    turn = F.coalesce(*(pose[c] for c in ("quat", "rotation", "orientation")))
-    named = calibrations.withColumnRenamed("camera_logical_id", "camera").join(F.broadcast(cameras), "camera")
+    """base_link to camera, from metadata as JSON text of any shape; the pose may come under other names."""
+    pose = F.try_variant_get(F.try_parse_json("camera_metadata"), "$.available_camera.rig_to_camera", "variant")
+    named = calibrations.withColumnRenamed("camera_logical_id", "camera").join(F.broadcast(cameras), "camera").withColumn("pose", pose)
+    shift, turn = _numbers(F.col("pose"), ("vec", "translation", "vec3", "position"), "xyz"), _numbers(F.col("pose"), ("quat", "rotation", "orientation"), "xyzw")
     return named.select("camera", F.lit("base_link").alias("parent"), F.col("frame_id").alias("child"), shift.alias("translation"), turn.alias("rotation")).where("translation IS NOT NULL AND rotation IS NOT NULL")
 
 
-def _sorted_fields(value: Column, kind: DataType) -> Column:
-    """A struct whose fields, at every depth, are in the order of their names; null stays null."""
-    if not isinstance(kind, StructType):
-        return value
-    fields = (_sorted_fields(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name))
-    return F.when(value.isNotNull(), F.struct(*fields))
+def calibration_json(calibrations: DataFrame) -> DataFrame:
+    """The metadata, JSON of any shape, as text with sorted keys at every depth, indented by two.
 
+    Numbers and escapes are spelled as Python's ``json`` does, which no SQL function follows; a row a camera comes here.
+    """
 
-def calibration_json(calibrations: DataFrame) -> DataFrame:
-    """The metadata as JSON text with sorted keys, indented by two. Absent fields are left out."""
-    ordered = _sorted_fields(F.col("camera_metadata"), calibrations.schema["camera_metadata"].dataType)
-    return calibrations.select("camera_logical_id", F.regexp_replace(F.to_json(ordered, {"pretty": "true"}), '(?m)^( *"[^"]*") : ', "$1: ").alias("json"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if x is None else json.dumps(json.loads(x), indent=2, sort_keys=True) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["camera_logical_id", "json"])
+
+    return calibrations.select("camera_logical_id", "camera_metadata").mapInArrow(run, "camera_logical_id string, json string")

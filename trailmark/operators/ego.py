@@ -73,9 +73,9 @@ def executed_path(ego: DataFrame, config: PathConfig, by: list[str] | None = Non
     """The points of the path of each segment, with ``offset_us`` from its first one."""
     by = [*(by or []), "segment"]
     rows = ego if "segment" in ego.columns else path_segments(ego, by[:-1])
-    stamped = rows.withColumn("latest_us", F.max("stamp_us").over(Window.partitionBy(*by)))  # it moves on with rows that aren't sampled too
-    kept = newest(admit(stamped, by, "ingest_seq", "stamp_us", config.interval_us), by, "stamp_us", "ingest_seq", history_us=config.history_us, most=config.max_points, latest="latest_us").drop("latest_us")
-    first = F.min("stamp_us").over(Window.partitionBy(*by))
+    latest = rows.groupBy(*by).agg(F.max("stamp_us").alias("latest_us"))  # it moves on with rows that aren't sampled too
+    kept = newest(admit(rows, by, "ingest_seq", "stamp_us", config.interval_us), by, "stamp_us", "ingest_seq", history_us=config.history_us, most=config.max_points, latest=latest if config.history_us else None)
+    first = F.min("stamp_us").over(Window.partitionBy(*by))  # of what is kept: max_points rows at most
     return kept.withColumn("offset_us", F.col("stamp_us") - first).withColumn("source", F.lit(EGO_SOURCES["EXECUTED"]))
 
 

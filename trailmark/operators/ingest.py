@@ -2,30 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 from pyspark.sql.window import Window
 
-from ..schemas import CHANNELS, MESSAGE_TYPES, REQUIRED
+from ..schemas import CHANNELS, CLOSED, MESSAGE_TYPES, OPTIONAL
 
 
-def parse(packets: DataFrame, channel: str) -> tuple[DataFrame, DataFrame]:
-    """Typed records of a channel, and its quarantine (``ingest_seq``, ``payload``, ``reason``).
+def first_missing(value: Column, kind: DataType, *, optional: list[str], closed: list[str], path: str = "") -> Column:
+    """The path of the first field that is null though it must not be, at any depth and in every element of arrays; null where all are there."""
+    if isinstance(kind, ArrayType):
+        own = lambda x: first_missing(x, kind.elementType, optional=optional, closed=closed, path=f"{path}[]")
+        inside = F.transform(value, lambda x: F.when(x.isNull(), f"{path}[]").otherwise(own(x)))
+        return F.get(F.filter(inside, lambda m: m.isNotNull()), F.lit(0))
+    found = [F.lit(None).cast("string")]
+    for field in kind.fields if isinstance(kind, StructType) else []:
+        name = f"{path}.{field.name}".lstrip(".")
+        part = value[field.name]
+        if name not in optional:
+            found.append(F.when(part.isNull(), name))
+        if isinstance(field.dataType, (ArrayType, StructType)) and name not in closed:
+            found.append(F.when(part.isNotNull(), first_missing(part, field.dataType, optional=optional, closed=closed, path=name)))
+    return F.coalesce(*found)
+
+
+def records(packets: DataFrame, channel: str) -> DataFrame:
+    """All packets of a channel, parsed and judged once: ingest_seq, payload, ``reason`` (null for a good record) and the fields.
 
     ``packets``: ingest_seq, payload (JSON text), and maybe channel, on which partition pruning works.
+    A record is parsed behind a generator, so that whatever reads its fields finds a column and not
+    the parser's expression again.
     """
     if "channel" in packets.columns:
         packets = packets.where(F.col("channel") == channel)
-    parsed = packets.withColumn("r", F.from_json("payload", CHANNELS[channel] + ", _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"}))
+    kind = StructType.fromDDL(CHANNELS[channel])
+    once = F.explode(F.array(F.from_json("payload", CHANNELS[channel] + ", _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})))
+    parsed = packets.select("ingest_seq", "payload", once.alias("r"))
     reason = F.when(F.col("r").isNull() | F.col("r._corrupt").isNotNull(), "malformed")
     if channel in MESSAGE_TYPES:
         reason = reason.when(~F.col("r.message_type").eqNullSafe(F.lit(MESSAGE_TYPES[channel])), "message_type")
-    for field in REQUIRED[channel]:
-        reason = reason.when(F.col(f"r.{field}").isNull(), f"missing {field}")
-    judged = parsed.withColumn("reason", reason)
-    fields = [c for c in judged.schema["r"].dataType.names if c != "_corrupt"]
-    good = judged.where("reason IS NULL").select("ingest_seq", *(F.col(f"r.{c}").alias(c) for c in fields))
-    return good, judged.where("reason IS NOT NULL").select("ingest_seq", "payload", "reason")
+    missing = first_missing(F.col("r"), kind, optional=OPTIONAL[channel], closed=CLOSED.get(channel, []))
+    return parsed.select("ingest_seq", "payload", reason.otherwise(F.concat(F.lit("missing "), missing)).alias("reason"), *(F.col(f"r.{c}").alias(c) for c in kind.names))
+
+
+def parse(packets: DataFrame, channel: str) -> tuple[DataFrame, DataFrame]:
+    """Typed records of a channel, and its quarantine (``ingest_seq``, ``payload``, ``reason``); for both together see :func:`records`."""
+    judged = records(packets, channel)
+    return judged.where("reason IS NULL").drop("payload", "reason"), judged.where("reason IS NOT NULL").select("ingest_seq", "payload", "reason")
 
 
 def keep_latest(df: DataFrame, by: list[str], most: int, seq: str = "ingest_seq") -> DataFrame:

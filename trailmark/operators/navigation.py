@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.codes import plan_source, route_generator
 from ..functions.geometry import finite
 from .recording import increasing
-from .series import scan
+from .series import last_values, next_below, segment
 
 
 def gate_steps(state: tuple[int, int | None] | None, sequence: list[int], reference: list[int], valid: list[bool]) -> tuple:
@@ -31,10 +32,147 @@ def gate_steps(state: tuple[int, int | None] | None, sequence: list[int], refere
     return (last_seq, last_ref), rollback, accepted
 
 
-def gate(updates: DataFrame, by: list[str]) -> DataFrame:
-    """``accepted`` and ``rollback`` for each update. ``updates``: by, ingest_seq, sequence, reference_us, valid."""
-    rows = updates.select(*by, "ingest_seq", "sequence", "reference_us", "valid")
-    return scan(rows, by, "ingest_seq", ["sequence", "reference_us", "valid"], gate_steps, "rollback boolean, accepted boolean")
+def _nth_true(flags: np.ndarray) -> np.ndarray:
+    """For each place the first true one at or behind it (the size, where there is none); one more place at the end."""
+    n = flags.size
+    return np.append(np.minimum.accumulate(np.where(flags, np.arange(n), n)[::-1])[::-1], n)
+
+
+class _Chunk:
+    """Packets of a chunk of one stream in order, and where each packet that passes whole hands the gate on to.
+
+    The gate holds what the last packet that passed whole left, so from each such packet on the
+    rest of the chunk is settled: the next to pass whole is the first one of a greater number, or
+    the first one from a fall of time on.
+    """
+
+    def __init__(self, group: pa.Table):
+        group = group.sort_by("ingest_seq")
+        self.table = group
+        self.seq, self.ref, self.valid = (group.column(c).to_numpy() for c in ("sequence", "reference_us", "valid"))
+        self.seq, self.ref, self.valid = self.seq.astype(np.int64), self.ref.astype(np.int64), self.valid.astype(bool)
+        n = self.seq.size
+        self.following = _nth_true(self.valid)
+        whole = np.flatnonzero(self.valid)
+        greater = np.append(whole, n)[next_below(-self.seq[whole])] if whole.size else whole
+        greater = np.where(self.seq[whole] == 0, np.append(whole, n)[1:], greater)  # number 0 stands for none
+        self.fall = next_below(self.ref)
+        self.next = np.full(n + 1, n)
+        self.next[whole] = np.minimum(greater, self.following[self.fall[whole]])
+
+    def exits(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the gate holds at the end, if the packets at ``places`` pass whole: number (0 once time fell and none passed since) and time."""
+        n = self.seq.size
+        jumps, at = [self.next], places
+        while (jumps[-1][:n] < n).any():
+            jumps.append(jumps[-1][jumps[-1]])
+        for jump in reversed(jumps):
+            at = np.where(jump[at] < n, jump[at], at)
+        return np.where(self.fall[at] < n, 0, self.seq[at]), self.ref[at]
+
+    def table_row(self) -> list[np.ndarray]:
+        """The states to enter with that make a difference, as two ladders: numbers that more and more packets exceed, and times that fall below.
+
+        Each step has the place of the packet that passes whole there and what the gate holds at the
+        end. Where all steps end alike, the last ones suffice.
+        """
+        n = self.seq.size
+        whole = np.flatnonzero(self.valid)
+        top = np.maximum.accumulate(self.seq[whole]) if whole.size else whole
+        up = whole[np.append(True, np.diff(top) > 0)] if whole.size else whole
+        low = np.minimum.accumulate(self.ref)
+        down = np.concatenate([[0], np.flatnonzero(np.diff(low) < 0) + 1])
+        to = self.following[down]
+        inside = to < n
+        numbers, times = self.exits(up) if up.size else (up, up)
+        fallen = [np.where(inside, x, 0) for x in self.exits(np.where(inside, to, 0))]
+        if up.size and np.unique(np.concatenate([[numbers, times], [fallen[0][inside], fallen[1][inside]]], axis=1), axis=1).shape[1] == 1 and inside.all():
+            up, numbers, times = up[-1:], numbers[-1:], times[-1:]
+            down, to, fallen = down[-1:], to[-1:], [x[-1:] for x in fallen]
+        return [self.seq[up], up, numbers, times, self.ref[down], to, *fallen]
+
+    def marks(self, number: int, time: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Whether time fell back at each packet, and whether it passed, for the state to enter with."""
+        n = self.seq.size
+        fall = n if time is None else int(np.argmax(np.append(self.ref < time, True)))
+        more = self.following[0] if number == 0 else int(np.argmax(np.append(self.valid & (self.seq > number), True)))
+        at, passed = min(int(more), int(self.following[fall])), []
+        while at < n:
+            passed.append(at)
+            at = int(self.next[at])
+        before = np.searchsorted(np.array(passed, np.int64), np.arange(n), side="left")  # how many have passed whole before each
+        held = np.array([-1, *passed], np.int64)[before]
+        numbers = np.where(held >= 0, self.seq[held], number)
+        back = (held >= 0) & (self.ref < self.ref[held])
+        if time is not None:
+            back |= (held < 0) & (self.ref < time)
+        falls = np.concatenate([[0], np.cumsum(back)])
+        since = falls[:-1] - falls[held + 1] > 0  # time fell, and none has passed whole since
+        return back, back | since | (numbers == 0) | (self.seq > numbers)
+
+
+#: Lists of :meth:`_Chunk.table_row`.
+_LADDERS = ("up", "up_at", "up_number", "up_time", "down", "down_at", "down_number", "down_time")
+
+
+def _enter(row: dict, number: int, time: int | None) -> tuple[int, int | None]:
+    """The state behind a chunk, from the one before it and the chunk's ladders."""
+    up, down = row["up"], row["down"]
+    step = 0 if number == 0 else int(np.searchsorted(up, number, side="right"))
+    at, after = (row["up_at"][step], (row["up_number"][step], row["up_time"][step])) if step < up.size else (None, None)
+    fell = time is not None and down.size > 0 and down[-1] < time
+    if fell:
+        step = int(np.searchsorted(-down, -time, side="right"))
+        if row["down_at"][step] < row["n"] and (at is None or row["down_at"][step] < at):
+            after = (row["down_number"][step], row["down_time"][step])
+    return after if after is not None else (0 if fell else number, time)
+
+
+def gate(updates: DataFrame, by: list[str], *, chunk: int = 200_000) -> DataFrame:
+    """``accepted`` and ``rollback`` for each update. ``updates``: by, ingest_seq, sequence, reference_us, valid.
+
+    A stream of any length is many tasks: each chunk tells how it hands on whatever state it is
+    entered with, a row a chunk meets in a chain that says which state that is, and then each chunk
+    marks its packets. :func:`gate_steps` is the rule itself.
+    """
+    names = [f"_by_{c}" for c in by]
+    kinds = dict(updates.dtypes)
+    keys = ", ".join(f"`{n}` {kinds[c]}" for c, n in zip(by, names, strict=True))
+    work = updates.select(*(F.col(c).alias(n) for c, n in zip(by, names, strict=True)), "ingest_seq", "sequence", "reference_us", "valid", F.floor(F.col("ingest_seq") / chunk).alias("_chunk"))
+    lists = ", ".join(f"{c} array<long>" for c in _LADDERS)
+
+    def transfer(group: pa.Table) -> pa.Table:
+        own = _Chunk(group)
+        out = own.table.select([*names, "_chunk"]).slice(0, 1).append_column("n", pa.array([own.seq.size], pa.int64()))
+        for c, values in zip(_LADDERS, own.table_row(), strict=True):
+            out = out.append_column(c, pa.array([values.astype(np.int64)], pa.list_(pa.int64())))
+        return out
+
+    def chain(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_chunk")
+        state, entered = (0, None), []
+        for k in range(group.num_rows):
+            entered.append(state)
+            row = {c: group.column(c)[k].values.to_numpy() for c in _LADDERS} | {"n": group.column("n")[k].as_py()}
+            state = _enter(row, *state)
+        out = group.select([*names, "_chunk"]).rename_columns([*names, "_at"])
+        return out.append_column("_number", pa.array([int(s) for s, _ in entered], pa.int64())).append_column("_time", pa.array([None if t is None else int(t) for _, t in entered], pa.int64()))
+
+    def mark(group: pa.Table) -> pa.Table:
+        own = _Chunk(group)
+        back, passed = own.marks(group.column("_number")[0].as_py(), group.column("_time")[0].as_py())
+        return own.table.select([*names, "ingest_seq", "sequence", "reference_us", "valid"]).append_column("rollback", pa.array(back)).append_column("accepted", pa.array(passed))
+
+    tables = work.groupBy(*names, "_chunk").applyInArrow(transfer, f"{keys}, _chunk long, n long, {lists}")
+    entries = tables.groupBy(*names).applyInArrow(chain, f"{keys}, _at long, _number long, _time long")
+    entries = entries.select(*(F.col(n).alias(f"{n}_") for n in names), "_at", "_number", "_time")
+    same = F.col("_chunk") == F.col("_at")
+    for n in names:
+        same &= F.col(n).eqNullSafe(F.col(f"{n}_"))
+    entered = work.join(entries, same).select(*work.columns, "_number", "_time")
+    rest = ", ".join(f"{c} {kinds[c]}" for c in ("ingest_seq", "sequence", "reference_us", "valid"))
+    out = entered.groupBy(*names, "_chunk").applyInArrow(mark, f"{keys}, {rest}, rollback boolean, accepted boolean")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(by, names, strict=True)), "ingest_seq", "sequence", "reference_us", "valid", "rollback", "accepted")
 
 
 def _vector_finite(v: Column) -> Column:
@@ -74,9 +212,25 @@ def publication(ok_map: Column, ok_input: Column, ok_plan: Column) -> dict[str,
 
 
 def judge(records: DataFrame) -> DataFrame:
-    """Flags of each navigation record: emit_map, emit_input, emit_plan, valid."""
+    """Flags of each navigation record: emit_map, emit_input, emit_plan, valid. The sections are checked once, whatever reads the flags."""
     ref = F.col("reference_timestamp_us")
-    return records.withColumns(publication(route_valid(F.col("route_map"), "map"), route_valid(F.col("route_model_input"), "base_link"), plan_valid(F.col("planned_trajectory"), ref)))
+    checks = F.struct(route_valid(F.col("route_map"), "map").alias("map"), route_valid(F.col("route_model_input"), "base_link").alias("input"), plan_valid(F.col("planned_trajectory"), ref).alias("plan"))
+    checked = records.select("*", F.explode(F.array(checks)).alias("_ok"))
+    return checked.withColumns(publication(*(F.col(f"_ok.{c}") for c in ("map", "input", "plan")))).drop("_ok")
+
+
+def line_messages(judged: DataFrame) -> DataFrame:
+    """What each record publishes for a viewer's lines, in order: ingest_seq, section (map, model_input, plan), kind, frame, positions.
+
+    One pass: the sections of a record are an array, which is exploded.
+    """
+    valid = lambda r: F.transform(F.filter(F.coalesce(r["points"], F.array()), lambda p: p["valid"]), lambda p: p["position"])
+    plan = F.col("planned_trajectory")
+    message = lambda flag, value, section, kind, frame, points: F.when(F.col(flag) & value.isNotNull(), F.struct(F.lit(section).alias("section"), F.lit(kind).alias("kind"), frame.alias("frame"), points.alias("positions")))
+    routes = [message(f, F.col(c), n, "route", F.col(c)["frame_id"], valid(F.col(c))) for f, c, n in (("emit_map", "route_map", "map"), ("emit_input", "route_model_input", "model_input"))]
+    planned = message("emit_plan", plan, "plan", "model_plan", F.coalesce(plan["pose_frame_id"], F.lit("map")), F.transform(F.coalesce(plan["points"], F.array()), lambda p: p["position"]))
+    out = judged.select("ingest_seq", F.explode(F.filter(F.array(*routes, planned), lambda m: m.isNotNull())).alias("m"))
+    return out.select("ingest_seq", "m.*")
 
 
 def routes(records: DataFrame, section: str, producer: str) -> DataFrame:
@@ -108,5 +262,29 @@ def plans(records: DataFrame) -> DataFrame:
 
 def latest_layers(messages: DataFrame, kinds: list[str], *, by: list[str], kind: str = "kind", seq: str = "ingest_seq", value: str = "value") -> DataFrame:
     """With each message the latest value of every kind."""
-    so_far = Window.partitionBy(*by).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    return messages.select("*", *(F.last(F.when(F.col(kind) == k, F.col(value)), ignorenulls=True).over(so_far).alias(k) for k in kinds))
+    return last_values(messages, by, seq, kind, kinds, value)
+
+
+def layer_arrays(messages: DataFrame, layers: list[int], *, by: list[str], seq: str = "seq") -> DataFrame:
+    """The array that goes out with each message: all layers that stand, in the order in which they came.
+
+    ``messages``: by, ``seq``, marker_id (the layer), action (ADD, DELETE), and what else a marker
+    has. A layer that is sent again keeps its place; DELETE goes out in the array once, in the place
+    of its layer (at the end, if that wasn't there), and then the layer is gone. Result: by, seq,
+    at (from 0), and the columns of each marker.
+    """
+    own = [*by, "marker_id"]
+    renewed = lambda before, row: (before["action"] == "DELETE") & (row["action"] == "ADD")
+    rows = segment(messages, seq, ["action"], renewed, by=own, name="_life")
+    of = lambda a: F.min(F.when(F.col("action") == a, F.col(seq)))
+    lives = rows.groupBy(*own, "_life").agg(of("ADD").alias("_since"), of("DELETE").alias("_gone"))
+    rows = rows.join(lives, [*own, "_life"])
+    place = F.when(F.col("action") == "ADD", F.col("_since")).when((F.col(seq) == F.col("_gone")) & F.col("_since").isNotNull(), F.col("_since")).otherwise(F.col(seq))
+    marker = [c for c in messages.columns if c not in (*by, seq)]
+    rows = rows.select(*by, seq, "marker_id", F.struct(place.alias("_place"), F.col(seq).alias("_seq"), *marker).alias("_marker"))
+    names = [f"_layer_{k}" for k in layers]
+    held = last_values(rows, by, seq, "marker_id", layers, "_marker", names=names)
+    stands = lambda m: m.isNotNull() & ((m["action"] == "ADD") | (m["_seq"] == F.col(seq)))
+    ordered = F.array_sort(F.filter(F.array(*names), stands), lambda a, b: F.when(a["_place"] < b["_place"], -1).when(a["_place"] > b["_place"], 1).otherwise(0))
+    out = held.select(*by, seq, F.posexplode(ordered).alias("at", "m"))
+    return out.select(*by, seq, "at", *(F.col(f"m.{c}").alias(c) for c in marker))

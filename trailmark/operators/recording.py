@@ -80,18 +80,27 @@ def answer_status(requests: DataFrame, recordings: DataFrame, *, on: list[str])
     return both.withColumn("status", status).withColumn("until_us", until).withColumn("revision", F.coalesce("revision", F.lit(0)))
 
 
-def interpolate(before: Column, after: Column, t: Column) -> Column:
-    """The point at ``t`` between two; a recorded point keeps its own speed, a new one has that of its velocity."""
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns behind a generator: what reads them finds columns, where a projection would be merged and its expressions copied."""
+    own = F.struct(*(c.alias(n) for n, c in columns.items()))
+    return rows.select("*", F.explode(F.array(own)).alias("_own")).select(*rows.columns, *(F.col(f"_own.{n}").alias(n) for n in columns))
+
+
+def interpolate(rows: DataFrame, time: str = "stamp_us") -> DataFrame:
+    """``point`` at ``time`` between the columns ``before`` and ``after``; a recorded point keeps its own quaternion and speed, a new one has the speed of its velocity."""
+    before, after, t = F.col("before"), F.col("after"), F.col(time)
     span = after["timestamp_us"] - before["timestamp_us"]
-    alpha = F.greatest(F.least((t - before["timestamp_us"]) / span, F.lit(1.0)), F.lit(0.0))
-    velocity = lerp_vector(before["linear_velocity"], after["linear_velocity"], alpha)
-    between = F.struct(
-        t.alias("timestamp_us"), lerp_vector(before["position"], after["position"], alpha).alias("position"), nlerp(before["orientation"], after["orientation"], alpha).alias("orientation"),
-        velocity.alias("linear_velocity"), lerp_vector(before["linear_acceleration"], after["linear_acceleration"], alpha).alias("linear_acceleration"),
-        *(lerp(before[c], after[c], alpha).alias(c) for c in ("yaw", "yaw_rate", "yaw_acceleration")), norm(velocity).alias("speed"),
-    )
-    stored = lambda p: F.struct(t.alias("timestamp_us"), *(p[c].alias(c) for c in ("position", "orientation", "linear_velocity", "linear_acceleration", "yaw", "yaw_rate", "yaw_acceleration", "speed")))
-    return F.when(before.isNull(), stored(after)).when(after.isNull() | (before["timestamp_us"] == t) | (span <= 0), stored(before)).when(after["timestamp_us"] == t, stored(after)).otherwise(between)
+    first = before.isNotNull() & (after.isNull() | (before["timestamp_us"] == t) | (span <= 0))
+    stored = F.when(first, before).when(before.isNull() | (after["timestamp_us"] == t), after)
+    out = _once(rows, _stored=stored, _alpha=F.greatest(F.least(F.try_divide(t - before["timestamp_us"], span), F.lit(1.0)), F.lit(0.0)))
+    alpha = F.col("_alpha")
+    out = _once(out, _velocity=lerp_vector(before["linear_velocity"], after["linear_velocity"], alpha), _turn=nlerp(before["orientation"], after["orientation"], alpha))
+    new = {
+        "position": lerp_vector(before["position"], after["position"], alpha), "orientation": F.col("_turn"), "linear_velocity": F.col("_velocity"), "linear_acceleration": lerp_vector(before["linear_acceleration"], after["linear_acceleration"], alpha),
+        **{c: lerp(before[c], after[c], alpha) for c in ("yaw", "yaw_rate", "yaw_acceleration")}, "speed": norm(F.col("_velocity")),
+    }
+    fields = (F.when(F.col("_stored").isNotNull(), F.col("_stored")[c]).otherwise(v).alias(c) for c, v in new.items())
+    return out.select(*rows.columns, F.struct(t.alias("timestamp_us"), *fields).alias("point"))
 
 
 def time_grid(requests: DataFrame, stamps: str | None = None) -> DataFrame:
@@ -111,5 +120,5 @@ def answers(requests: DataFrame, points: DataFrame, *, on: list[str], stamps: st
     """
     wanted = time_grid(requests.where("status = 'ok'"), stamps)
     times = wanted.select(*on, "request_id", "reference_us", F.explode("grid").alias("stamp_us"))
-    out = bracket(times, points, on).withColumn("point", interpolate(F.col("before"), F.col("after"), F.col("stamp_us")))
+    out = interpolate(bracket(times, points, on))
     return out.withColumn("offset_us", F.col("stamp_us") - F.col("reference_us")).drop("before", "after")

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,13 +144,56 @@ def admit(df: DataFrame, by: list[str], seq: str, time: str, interval_us: int, *
     return work.join(entries, same).select(*columns, "_chunk", "_enter").groupBy(*by, "_chunk").applyInArrow(thin_out, df.schema)
 
 
-def newest(df: DataFrame, by: list[str], time: str, seq: str, *, history_us: int = 0, most: int = 512, latest: str | None = None) -> DataFrame:
-    """Retention: rows within ``history_us`` of the latest time received (if over 0), then the newest ``most``."""
+def _joined(work: DataFrame, chunks: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of a chunk with what its chunk's row says; ``chunks`` has ``_at`` and ``_by_...`` for the keys."""
+    same = F.col("_chunk") == F.col("_at")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return work.join(chunks, same).drop("_at", *(f"_by_{c}" for c in by))
+
+
+def ranked(df: DataFrame, by: list[str], seq: str, *, name: str = "rank", chunk: int = CHUNK) -> DataFrame:
+    """The place of each row of its series by ``seq``, from 1. Chunks are numbered side by side; a row a chunk meets in a window."""
+    work = df.withColumn("_chunk", F.floor(F.col(seq) / chunk))
+    order = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = work.groupBy(*by, "_chunk").agg(F.count("*").alias("_n"))
+    counts = counts.select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_chunk").alias("_at"), F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_base"))
+    own = F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(seq))
+    return _joined(work.withColumn("_own", own), counts, by).withColumn(name, F.col("_base") + F.col("_own")).drop("_chunk", "_own", "_base")
+
+
+def last_values(df: DataFrame, by: list[str], seq: str, kind: str, kinds: list, value: Column | str, *, names: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
+    """With each row the last value of every kind up to it, in a column a kind; scanned in chunks, of which each leaves one row for those behind it."""
+    names = names or [str(k) for k in kinds]
+    work = df.withColumn("_chunk", F.floor(F.col(seq) / chunk)).withColumn("_value", _c(value))
+    of = lambda k, c: F.when(F.col(kind) == k, F.col(c))
+    inside = Window.partitionBy(*by, "_chunk").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = work.groupBy(*by, "_chunk").agg(*(F.max_by(of(k, "_value"), of(k, seq)).alias(f"_end_{i}") for i, k in enumerate(kinds)))
+    ends = ends.select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_chunk").alias("_at"), *(F.last(f"_end_{i}", ignorenulls=True).over(ahead).alias(f"_old_{i}") for i in range(len(kinds))))
+    work = work.select("*", *(F.last(of(k, "_value"), ignorenulls=True).over(inside).alias(f"_new_{i}") for i, k in enumerate(kinds)))
+    out = _joined(work, ends, by)
+    return out.select(*df.columns, *(F.coalesce(f"_new_{i}", f"_old_{i}").alias(n) for i, n in enumerate(names)))
+
+
+def newest(df: DataFrame, by: list[str], time: str, seq: str, *, history_us: int = 0, most: int = 512, latest: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
+    """Retention: rows within ``history_us`` of the latest time received (if over 0), then the newest ``most``.
+
+    ``latest``: by, ``latest_us``, the latest time received of each series; that of ``df`` if none is
+    given. Both rules keep a tail of the series, so places from the end and one row a series suffice.
+    """
+    numbered = ranked(df, by, seq, name="_rank", chunk=chunk)
+    ends = numbered.groupBy(*by).agg(F.max("_rank").alias("_total"), F.max(time).alias("_last"))
+    if latest is not None:
+        ends = ends.drop("_last").join(latest.withColumnRenamed("latest_us", "_last"), by)
+    tail = F.col("_rank") > F.col("_total") - most
     if history_us > 0:
-        last = F.max(latest or time).over(Window.partitionBy(*by))
-        df = df.withColumn("_latest", last).where(F.col(time) >= F.col("_latest") - history_us).drop("_latest")
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(seq)))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
+        tail &= F.col(time) >= F.col("_last") - history_us
+    ends = ends.select(*(F.col(c).alias(f"_by_{c}") for c in by), "_total", "_last")
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return numbered.join(ends, same).where(tail).select(*df.columns)
 
 
 def max_points(asked: Column | str, default: int = 256) -> Column:
@@ -178,61 +220,44 @@ def thin(stamps: Column, most: Column) -> Column:
     return F.when(F.size(stamps) <= most, stamps).when(most == 1, F.slice(stamps, 1, 1)).otherwise(spread)
 
 
-def bracket(grid: DataFrame, points: DataFrame, by: list[str], *, time: str = "stamp_us", value: str = "point", chunk_us: int = 86_400_000_000) -> DataFrame:
+def bracket(grid: DataFrame, points: DataFrame, by: list[str], *, time: str = "stamp_us", value: str = "point", seq: str | None = None, chunk_us: int = 86_400_000_000) -> DataFrame:
     """As-of on both sides: for each grid row the last point not after it and the first not before it (``before``, ``after``).
 
-    Both tables are united and scanned once, the points first among equals, in chunks of time, so
-    that one long series is many scans; a chunk's first and last points are one row, and these meet
-    in a window, which fills what lies beyond the chunk.
+    ``seq``: a column of ``points`` that orders those of one time; without it they must differ in
+    time. Both tables are united and scanned once, the points first among equals, in chunks of
+    time, so that one long series is many scans; a chunk's first and last points are one row, and
+    these meet in a window, which fills what lies beyond the chunk.
     """
     cols = [c for c in grid.columns if c not in by]
-    left = grid.select(*by, F.col(time).alias("_t"), F.lit(1).alias("_kind"), F.struct(*cols).alias("_row"), F.lit(None).cast(points.schema[value].dataType).alias("_point"))
-    right = points.select(*by, F.col(time).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.col(value).alias("_point"))
+    tie = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
+    left = grid.select(*by, F.col(time).alias("_t"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_tie"), F.struct(*cols).alias("_row"), F.lit(None).cast(points.schema[value].dataType).alias("_point"))
+    right = points.select(*by, F.col(time).alias("_t"), F.lit(0).alias("_kind"), tie.alias("_tie"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.col(value).alias("_point"))
     both = left.unionByName(right).withColumn("_chunk", F.floor(F.col("_t") / chunk_us))
     scan = Window.partitionBy(*by, "_chunk")
-    forward = scan.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    backward = scan.orderBy(F.desc("_t"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    forward = scan.orderBy("_t", "_kind", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    backward = scan.orderBy(F.desc("_t"), "_kind", F.desc("_tie")).rowsBetween(Window.unboundedPreceding, 0)
     near = both.withColumn("before", F.last("_point", ignorenulls=True).over(forward)).withColumn("after", F.last("_point", ignorenulls=True).over(backward)).where("_kind = 1")
-    ends = both.groupBy(*by, "_chunk").agg(F.max_by("_point", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_last"), F.min_by("_point", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_first"))
+    place = F.when(F.col("_kind") == 0, F.struct("_t", "_tie"))
+    ends = both.groupBy(*by, "_chunk").agg(F.max_by("_point", place).alias("_last"), F.min_by("_point", place).alias("_first"))
     chunks = Window.partitionBy(*by).orderBy("_chunk")
     ends = ends.select(
         *(F.col(c).alias(f"_by_{c}") for c in by), F.col("_chunk").alias("_at"),
         F.last("_last", ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
     )
-    same = F.col("_chunk") == F.col("_at")
-    for c in by:
-        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return near.join(ends, same).select(*by, "_row.*", F.coalesce("before", "_before").alias("before"), F.coalesce("after", "_after").alias("after"))
-
-
-def scan(df: DataFrame, by: list[str], seq: str, columns: list[str], step: Callable[..., tuple], result: str) -> DataFrame:
-    """Rows of each key in order through a small state machine, for rules that no window expresses.
-
-    ``step(state, *columns)`` takes lists of a run of rows of one key, and returns the next state
-    and a list for each column of ``result``. Rows stream by in sorted order, so a key of any
-    length takes the memory of a batch.
-    """
-    kinds = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
-    added = [c.strip().split(" ")[0] for c in result.split(",")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state = None, None
-        for batch in batches:
-            if not len(batch):
-                continue
-            keys = batch[by]
-            before = keys.shift()
-            new = ~((keys == before) | (keys.isna() & before.isna())).all(axis=1).to_numpy()
-            new[0] = True
-            edges = [*np.flatnonzero(new).tolist(), len(batch)]
-            out: list[list] = [[] for _ in added]
-            for low, high in zip(edges, edges[1:], strict=False):
-                own = tuple(None if pd.isna(x) else x for x in keys.iloc[low])
-                state = state if own == key else None
-                key = own
-                state, *values = step(state, *(batch[c].iloc[low:high].tolist() for c in columns))
-                for column, more in zip(out, values, strict=True):
-                    column += more
-            yield batch.assign(**dict(zip(added, out, strict=True)))
-
-    return df.repartition(*by).sortWithinPartitions(*by, seq).mapInPandas(run, f"{kinds}, {result}")
+    return _joined(near, ends, by).select(*by, "_row.*", F.coalesce("before", "_before").alias("before"), F.coalesce("after", "_after").alias("after"))
+
+
+def next_below(values: np.ndarray) -> np.ndarray:
+    """For each place the next one of a smaller value (the size, where there is none), by minima of windows that double."""
+    n = values.size
+    minima, width = [np.append(values, np.iinfo(values.dtype).min)], 1
+    while 2 * width <= n + 1:
+        minima.append(np.minimum(minima[-1][:-width], minima[-1][width:]))
+        width *= 2
+    at = np.arange(1, n + 1)
+    for level in range(len(minima) - 1, -1, -1):
+        low = minima[level]
+        fits = np.flatnonzero(at < low.size)
+        fits = fits[low[at[fits]] >= values[fits]]
+        at[fits] += 1 << level
+    return at

@@ -49,7 +49,7 @@ def motion(e: DataFrame) -> F.Column:
 def actors(e: DataFrame) -> DataFrame:
     """One packet with one actor for each event."""
     return e.select(
-        F.col("event_id").alias("ingest_seq"), F.col("stamp_us").alias("ref_us"), "stamp_us", F.lit(0).alias("ordinal"), F.col("user_id").cast("string").alias("track_id"), F.col("event_type").alias("label_class"),
+        F.col("event_id").alias("ingest_seq"), F.col("stamp_us").alias("ref_us"), "stamp_us", F.lit(0).alias("ordinal"), F.col("user_id").cast("string").alias("track_id"), F.col("event_type").alias("label_class"), (F.col("event_type") == "error").alias("is_static"),
         vector(F.col("k") / 20.0, F.col("k") / 50.0, F.col("k") / 40.0).alias("dimensions"), vector(F.col("value"), (F.col("event_id") % 1000) / 10.0, 0.0).alias("position"), turn(F.col("k")).alias("orientation"),
         vector(F.col("value") / 10, F.col("k") / 10.0, 0.0).alias("linear_velocity"), (F.col("value") / 100).alias("speed"),
     )
@@ -95,13 +95,45 @@ def navigation_packets(e: DataFrame) -> DataFrame:
 
 
 def actor_packets(e: DataFrame) -> DataFrame:
-    """Snapshots of five events each as JSON; every ninth is of another type."""
-    state = F.struct(F.col("stamp_us").alias("timestamp_us"), vector(F.col("value"), F.col("k"), 0).alias("position"), turn(F.col("k")).alias("orientation"), vector(F.col("value") / 10, 0, 0).alias("linear_velocity"), (F.col("value") / 100).alias("speed"))
-    actor = F.struct(F.col("user_id").alias("track_id"), F.col("event_type").alias("label_class"), (F.col("event_type") == "error").alias("is_static"), vector(F.col("k") / 20.0, 1, F.col("k") / 40.0).alias("dimensions"), state.alias("current_state"))
+    """Snapshots of five events each as JSON; every ninth is of another type, and where the rest of k by 46 is 0 or 1 an actor has no track or no y."""
+    k, zero = F.col("k"), lambda name: F.lit(0.0).alias(name)
+    at = F.struct(F.col("value").alias("x"), F.when(k % 46 != 1, k.cast("double")).alias("y"), zero("z"))
+    state = F.struct(
+        F.col("stamp_us").alias("timestamp_us"), at.alias("position"), turn(k).alias("orientation"), vector(F.col("value") / 10, 0, 0).alias("linear_velocity"), vector(0, 0, 0).alias("linear_acceleration"),
+        zero("yaw"), zero("yaw_rate"), zero("yaw_acceleration"), (F.col("value") / 100).alias("speed"),
+    )
+    actor = F.struct(F.when(k % 46 != 0, F.col("user_id")).alias("track_id"), F.col("event_type").alias("label_class"), (F.col("event_type") == "error").alias("is_static"), vector(k / 20.0, 1, k / 40.0).alias("dimensions"), state.alias("current_state"))
     packet = F.expr("event_id div 5")
     each = e.select(packet.alias("ingest_seq"), "stamp_us", F.struct("event_id", actor.alias("actor")).alias("a")).groupBy("ingest_seq").agg(F.max("stamp_us").alias("timestamp_us"), F.sort_array(F.collect_list("a")).alias("all"))  # five rows a packet
     kind = F.when(F.col("ingest_seq") % 9 == 0, "other").otherwise("actor_snapshot")
-    return each.select("ingest_seq", F.to_json(F.struct(kind.alias("message_type"), "timestamp_us", F.transform("all", lambda x: x["actor"]).alias("actors"))).alias("payload"))
+    frame = F.when(F.col("ingest_seq") % 4 == 0, "odom")
+    return each.select("ingest_seq", F.to_json(F.struct(kind.alias("message_type"), "timestamp_us", frame.alias("dynamics_frame_id"), F.transform("all", lambda x: x["actor"]).alias("actors"))).alias("payload"))
+
+
+def ego_packets(e: DataFrame) -> DataFrame:
+    """Ego states as JSON by the last digit of k: 0 broken, 1 without a time, 2 without x, 3 without w, 4 without an acceleration."""
+    d = F.col("k") % 10
+    but = lambda n, c: F.when(d != n, F.col(c)).alias(c.split(".")[-1])
+    still = vector(0, 0, 0)
+    body = F.struct(
+        F.when(d != 1, F.col("stamp_us")).alias("timestamp_us"), F.struct(but(2, "position.x"), "position.y", "position.z").alias("position"), F.struct("orientation.x", "orientation.y", "orientation.z", but(3, "orientation.w")).alias("orientation"),
+        *(still.alias(c) for c in ("linear_velocity", "angular_velocity", "linear_acceleration")), F.when(d != 4, still).alias("angular_acceleration"), "speed",
+    )
+    return ego(e).select("ingest_seq", F.when(d == 0, "{broken").otherwise(F.to_json(body)).alias("payload"))
+
+
+def camera_packets(e: DataFrame, cameras: tuple[str, ...]) -> DataFrame:
+    """Headers of camera frames as JSON; those of k over 50 have metadata with fields, lists and nulls that no schema names, the pose under names by the rest of k."""
+    k = F.col("k")
+    axes = lambda names: F.concat(F.lit("{"), *(x for i, (n, v) in enumerate(names) for x in (F.lit(f'{", " if i else ""}"{n}": '), v.cast("string"))), F.lit("}"))
+    half = k / 2.0
+    shift, turned = axes([("z", half), ("y", half + 1), ("x", half + 2)]), axes([("w", F.lit(1)), ("x", F.lit(0.0)), ("y", F.lit(0.0)), ("z", half)])
+    names = [("vec", "quat"), ("translation", "rotation"), ("vec3", "orientation"), ("position", None)]
+    pose = F.coalesce(*(F.when(k % 4 == i, F.concat(F.lit(f'"{v}": '), shift, *((F.lit(f', "{q}": '), turned) if q else ()))) for i, (v, q) in enumerate(names)))
+    camera = F.element_at(F.array(*(F.lit(c) for c in (*cameras, "unknown"))), (F.col("event_id") % 6 + 1).cast("int"))
+    meta = F.concat(F.lit('{"sensor": {"zoom": null, "lens": ['), k.cast("string"), F.lit(', 0.50, {"b": true, "a": "\u00e9"}, []], "model": "f"}, "available_camera": {"rig_to_camera": {'), pose, F.lit('}, "logical_id": "'), camera, F.lit('"}}'))
+    header = F.concat(F.lit('{"camera_logical_id": "'), camera, F.lit('", "end_timestamp_us": '), F.col("stamp_us").cast("string"), F.lit(', "camera_metadata": '), F.when(k > 50, meta).otherwise("null"), F.lit("}"))
+    return e.select(F.col("event_id").alias("ingest_seq"), header.alias("payload"))
 
 
 def vector_maps(spark: SparkSession, sf_dir: str) -> DataFrame:

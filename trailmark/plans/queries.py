@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import codes, geometry, timeutil
 from ..operators import actors, camera, ego, ingest, markers, navigation, recording, series, ticks, vectormap
-from ..sources import framed, robot
+from ..sources import framed
 from . import adapters
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
@@ -73,7 +73,7 @@ CONFIG = actors.ActorConfig(history_us=2 * DAY, future_us=7 * DAY, period_us=12
 @query
 def actor_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapters.actors(adapters.events(spark, sf_dir))
-    return rows.select(F.col("ingest_seq").alias("event_id"), "track_id", "label_class", (F.col("label_class") == "error").alias("is_static"), r6("dimensions.x").alias("dx"), r6("dimensions.z").alias("dz"), r6("speed").alias("speed"))
+    return rows.select(F.col("ingest_seq").alias("event_id"), "track_id", "label_class", "is_static", r6("dimensions.x").alias("dx"), r6("dimensions.z").alias("dz"), r6("speed").alias("speed"))
 
 
 def _futures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +200,7 @@ def map_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def map_polylines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = markers.line_strips(adapters.polylines(spark, sf_dir), markers.MAP_LAYERS["left_boundary"])
+    lines = markers.line_strips(adapters.polylines(spark, sf_dir), "left_boundary")
     return lines.select("vec_id", "ns", F.posexplode("line").alias("at", "p")).select("vec_id", "ns", "at", r6("p.x").alias("x"), r6("p.z").alias("z"))
 
 
@@ -249,7 +249,7 @@ def actor_snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def actor_marker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Markers of each packet in order; their ids are in ``marker_ids``."""
-    rows = _snapshots(spark, sf_dir).select("ingest_seq", F.col("at").alias("ordinal"), "track_id", "label_class", "dimensions", "state.position", "state.orientation", "state.linear_velocity", "state.speed")
+    rows = _snapshots(spark, sf_dir).select("ingest_seq", F.col("at").alias("ordinal"), "track_id", "label_class", "is_static", "dimensions", "pose_frame_id", "dynamics_frame_id", "state.position", "state.orientation", "state.linear_velocity", "state.speed")
     return markers.actor_markers(rows).drop("id")
 
 
@@ -271,6 +271,17 @@ def actor_history_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actors.history(rows, rows.select("user_id", "ingest_seq", "ref_us"), CONFIG, by=["user_id"], meta=["value"]).select(F.col("ingest_seq").alias("event_id"), "track_id", r6("value").alias("value"))
 
 
+EVICTING = actors.ActorConfig(history_us=9 * DAY, period_us=12 * HOUR, stale_us=5 * DAY)
+
+
+@query
+def actor_history_evicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history longer than the stale time: tracks that come again after an eviction have lost their samples."""
+    rows = _track_rows(spark, sf_dir)
+    out = actors.history(rows, rows.select("user_id", "ingest_seq", "ref_us"), EVICTING, by=["user_id"])
+    return out.select(F.col("ingest_seq").alias("event_id"), "track_id", F.size("points").alias("n_points"), F.get("points", F.lit(0))["t"].alias("first_us"), F.element_at("points", -1)["t"].alias("last_us"))
+
+
 @query
 def actor_history_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _track_rows(spark, sf_dir)
@@ -287,20 +298,24 @@ def actor_future_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actors.header(out, CONFIG, "FUTURE").select("event_id", "actual_us", "n_tracks", "source", "is_model_generated", "requested_us", "interval_us")
 
 
-def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    good, bad = ingest.parse(adapters.navigation_packets(adapters.events(spark, sf_dir)), "navigation")
-    return navigation.judge(good), bad
+@query
+def actor_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actor packets with what is missing in them at any depth; null where nothing is."""
+    return ingest.records(adapters.actor_packets(adapters.events(spark, sf_dir)), "actors").select("ingest_seq", "reason", F.size("actors").alias("n_actors"))
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return navigation.judge(ingest.records(adapters.navigation_packets(adapters.events(spark, sf_dir)), "navigation"))
 
 
 @query
 def nav_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = _judged(spark, sf_dir)
-    flags = good.select(F.col("ingest_seq").alias("event_id"), F.lit("ok").alias("reason"), "emit_map", "emit_input", "emit_plan")
-    return flags.unionByName(bad.select(F.col("ingest_seq").alias("event_id"), "reason"), allowMissingColumns=True)
+    flags = (F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in ("emit_map", "emit_input", "emit_plan"))
+    return _judged(spark, sf_dir).select(F.col("ingest_seq").alias("event_id"), F.coalesce("reason", F.lit("ok")).alias("reason"), *flags)
 
 
 def _routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = _judged(spark, sf_dir)
+    good = _judged(spark, sf_dir).where("reason IS NULL")
     first, second = (navigation.routes(good.where(f), c, "producer").withColumn("section", F.lit(n)) for f, c, n in (("emit_map", "route_map", "map"), ("emit_input", "route_model_input", "model_input")))
     return first.unionByName(second)
 
@@ -313,30 +328,39 @@ def nav_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def nav_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = _judged(spark, sf_dir)
-    rows = navigation.plans(good.where("emit_plan"))
+    rows = navigation.plans(_judged(spark, sf_dir).where("reason IS NULL AND emit_plan"))
     speed = F.aggregate("points", F.lit(0.0), lambda a, p: a + p["speed"])
     return rows.select(F.col("ingest_seq").alias("event_id"), "source", "producer", "is_model_generated", "force_gt_active", "requested_us", "actual_us", F.size("points").alias("n_points"), F.get("points", F.lit(2))["time_from_reference_us"].alias("last_us"), r6(speed).alias("speeds"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = _judged(spark, sf_dir)
-    route = markers.navigation_line(_routes(spark, sf_dir), "route").select("ingest_seq", "section", "ns", "action", "width", "color", "line")
-    plan = markers.navigation_line(navigation.plans(good.where("emit_plan")), "model_plan").select("ingest_seq", F.lit("plan").alias("section"), "ns", "action", "width", "color", "line")
-    return route.unionByName(plan)
+    return markers.navigation_lines(navigation.line_messages(_judged(spark, sf_dir).where("reason IS NULL")))
 
 
 @query
 def navigation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = F.get("line", F.lit(0))["z"]
-    return _lines(spark, sf_dir).select(F.col("ingest_seq").alias("event_id"), "section", "ns", "action", "width", F.size("line").alias("n_points"), "color.g", r6(z).alias("z"))
+    return _lines(spark, sf_dir).select(F.col("ingest_seq").alias("event_id"), "section", "marker_id", "ns", "frame", "action", "width", F.size("line").alias("n_points"), "color.g", r6(z).alias("z"))
+
+
+def _line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of ten viewers; a packet's route comes before its plan."""
+    seq = F.col("ingest_seq") * 2 + (F.col("section") == "plan").cast("int")
+    rows = _lines(spark, sf_dir).where("section <> 'model_input'").select((F.col("ingest_seq") % 10).alias("viewer"), seq.alias("seq"), "marker_id", "ns", "frame", "action", F.size("line").alias("n_points"))
+    return navigation.layer_arrays(rows, [i for i, *_ in markers.NAVIGATION_LAYERS.values()], by=["viewer"])
+
+
+@query
+def navigation_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines that go out with each message."""
+    return _line_arrays(spark, sf_dir)
 
 
 @query
 def navigation_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The retained line of each layer, for ten viewers."""
-    rows = _lines(spark, sf_dir).where("section <> 'model_input'").select((F.col("ingest_seq") % 10).alias("viewer"), "ns", "ingest_seq", "action", F.size("line").alias("n_points"))
-    return ingest.latest(rows, ["viewer", "ns"])
+    """The array that is retained for each viewer: what went out last, of which removed layers are no part."""
+    arrays = _line_arrays(spark, sf_dir)
+    return arrays.join(arrays.groupBy("viewer").agg(F.max("seq").alias("seq")), ["viewer", "seq"])
 
 
 def _maps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,7 +375,8 @@ def map_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def map_marker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markers.map_markers(_maps(spark, sf_dir), ["map_id"])
+    rows = markers.map_markers(_maps(spark, sf_dir), ["map_id"])
+    return rows.select("map_id", "layer", "at", "part", "ns", "id", "frame", "action", F.when(F.col("layer") == 0, 0).otherwise(F.size("line")).alias("n_points"), r6("width").alias("width"), r6(F.get("line", F.lit(0))["z"]).alias("z"))
 
 
 @query
@@ -370,7 +395,8 @@ def map_client_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = adapters.events(spark, sf_dir)
     versions = _map_versions(spark, sf_dir).join(e.select(F.col("event_id").alias("ingest_seq"), "stamp_us"), "ingest_seq")
     polls = ticks.ticks(e.select("user_id", (F.col("stamp_us") - DAY).alias("stamp_us")), 3 * DAY, ["user_id"])
-    return ticks.map_polls(polls, vectormap.cache(versions, by=["user_id"]), ["user_id"]).select("user_id", "tick", "tick_us", "revision", "action")
+    cached = vectormap.cache(versions, by=["user_id"]).withColumn("scene_id", F.when(F.col("scene_id") != "error", F.col("scene_id")).otherwise(""))  # answers without a map
+    return ticks.map_polls(polls, cached, ["user_id"]).select("user_id", "tick", "tick_us", "revision", "action")
 
 
 @query
@@ -405,6 +431,15 @@ def executed_path_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks.path_snapshots(rows, ticks.ticks(e, 5 * DAY, ["user_id"]), ego.PathConfig(interval_us=6 * HOUR, max_points=20), ["user_id"]).drop("segment")
 
 
+@query
+def executed_path_ticks_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path of the last day as published every two days, four points at most."""
+    e = adapters.events(spark, sf_dir)
+    rows = adapters.ego(e).select("user_id", "ingest_seq", "stamp_us", *ego.FRAMES)
+    config = ego.PathConfig(interval_us=3 * HOUR, history_us=DAY, max_points=4)
+    return ticks.path_snapshots(rows, ticks.ticks(e, 2 * DAY, ["user_id"]), config, ["user_id"]).drop("segment")
+
+
 @query
 def frame_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of each user where the frame changes, and rows without one."""
@@ -424,24 +459,9 @@ def framed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("stream", "at", "payload", F.octet_length("data").alias("image_bytes"))
 
 
-@query
-def frame_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vehicle's joints; the driver's tables have no part in it."""
-    rows = robot.joints(spark.createDataFrame([(robot.vehicle_description(),)], "xml string"))
-    return rows.select("joint", "kind", "parent", "child", *(F.get("xyz", F.lit(i)).alias(c) for i, c in enumerate("xyz")))
-
-
 def _calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("k")
-    half = k / 2.0
-    shift = F.struct(half.alias("z"), (half + 1).alias("y"), (half + 2).alias("x"))
-    turned = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), half.alias("z"))
-    names = [("vec", "quat"), ("translation", "rotation"), ("vec3", "orientation"), ("position", None)]
-    pose = F.struct(*(F.when(k % 4 == i, shift).alias(v) for i, (v, _) in enumerate(names)), *(F.when(k % 4 == i, turned).alias(q) for i, (_, q) in enumerate(names) if q))
-    meta = F.struct(F.struct(pose.alias("rig_to_camera")).alias("available_camera"))
-    camera_of = F.element_at(F.array(*(F.lit(c) for c in (*camera.CAMERAS, "unknown"))), (F.col("event_id") % 6 + 1).cast("int"))
-    frames = adapters.events(spark, sf_dir).select(camera_of.alias("camera_logical_id"), F.col("event_id").alias("ingest_seq"), F.when(k > 50, meta).alias("camera_metadata"))
-    return camera.calibration_once(frames)
+    packets = adapters.camera_packets(adapters.events(spark, sf_dir), camera.CAMERAS)
+    return camera.calibration_once(ingest.parse(packets, "camera")[0])
 
 
 @query
@@ -487,11 +507,9 @@ def receive_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def packet_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ego packets as JSON; some broken, some without a field."""
-    rows = adapters.ego(adapters.events(spark, sf_dir))
-    packed = F.to_json(F.struct(F.when(F.col("k") % 10 != 1, F.col("stamp_us")).alias("timestamp_us"), "position", "orientation", "speed"))
-    good, bad = ingest.parse(rows.select("ingest_seq", F.when(F.col("k") % 10 == 0, "{broken").otherwise(packed).alias("payload")), "ego")
-    states = ego.states(good).select(F.col("ingest_seq").alias("event_id"), F.lit("ok").alias("reason"), "stamp_us", r6("position.x").alias("x"), "pose_frame_id")
-    return states.unionByName(bad.select(F.col("ingest_seq").alias("event_id"), "reason"), allowMissingColumns=True)
+    rows = ingest.records(adapters.ego_packets(adapters.events(spark, sf_dir)), "ego")
+    good = lambda c: F.when(F.col("reason").isNull(), c)
+    return rows.select(F.col("ingest_seq").alias("event_id"), F.coalesce("reason", F.lit("ok")).alias("reason"), good(F.col("timestamp_us")).alias("stamp_us"), good(r6("position.x")).alias("x"), good(F.coalesce("pose_frame_id", F.lit("map"))).alias("pose_frame_id"))
 
 
 @query
