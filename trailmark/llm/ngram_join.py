@@ -30,6 +30,8 @@ from .components import components
 from .shared import stage
 
 RANGE_BITS = 16
+#: Bytes of text and documents that a task works on at once.
+SLICE, PART = 500_000, 500
 MIN_HASHES = 4
 #: Classes that meet in one block at most, give or take the dealing by hash.
 BLOCK = 48
@@ -39,7 +41,7 @@ MIXED = -(1 << 63)
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row number and sorted distinct hashes of the ``k``-word shingles of each text of a column."""
-    for low, high, data, offsets in text_slices(column):
+    for low, high, data, offsets in text_slices(column, SLICE):
         starts, ends, bounds = words(data, offsets)
         hashes, bounds = window_hashes(span_hashes(data, starts, ends, FOLD), bounds, k)
         for i in range(high - low):
@@ -167,7 +169,7 @@ def facts_of(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << RANGE_BITS, np.int64)
-        for batch in (b.slice(at, 2000) for b in batches for at in range(0, b.num_rows, 2000)):
+        for batch in (b.slice(at, PART) for b in batches for at in range(0, b.num_rows, PART)):
             sets = [s for _, s in shingle_sets(batch.column(1), k)]
             sizes = np.array([s.size for s in sets], np.int64)
             every = np.concatenate([*sets, np.zeros(0, U64)])
@@ -198,7 +200,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column(1)):
+            for low, high, data, offsets in text_slices(batch.column(1), SLICE):
                 raw = data.tobytes()
                 body = pa.array([press.compress(raw[s:e]) for s, e in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low).cast(pa.int64()), body], names=["doc_id", "body"])
@@ -267,8 +269,8 @@ def prefix_rows(docs: DataFrame, order: Order, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, PART):
+                part = batch.slice(at, PART)
                 rows, tokens, sizes = [], [np.zeros(0, U64)], []
                 for i, own in shingle_sets(part.column(1), k):
                     if own.size:
