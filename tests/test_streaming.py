@@ -63,12 +63,6 @@ def test_gate_stream_equals_batch(spark, tmp_path):
     assert {(r.g, r.ingest_seq) for r in got} == {(r.g, r.ingest_seq) for r in want}
 
 
-def test_rings(spark, tmp_path):
-    rows = [("a", i, t) for i, t in enumerate((0, 10, 10, 20, 30, 200))]
-    got = drained(stateful.track_rings(stream_of(spark, rows, "k string, ingest_seq long, stamp_us long", tmp_path / "in"), "k", 3, 100), "ring_stream")
-    assert {r.ingest_seq: r.ring for r in got} == {0: [0], 1: [0, 10], 2: [0, 10], 3: [0, 10, 20], 4: [10, 20, 30], 5: [200]}
-
-
 def framed(text, image=None):
     raw = text.encode()
     out = struct.pack("!I", len(raw)) + raw
@@ -164,9 +158,9 @@ def test_camera_frames_and_broken_senders_on_a_port(spark):
                 time.sleep(0.1)
                 rows, end = reader.read({"n": 0})
         rows = list(reader.readBetweenOffsets({"n": 0}, end))
-        assert {(text, len(data)) for _, text, data in rows} == {("[1]", 1), ("[3]", 100_000), ("[4]", 0)}
+        assert {(text, len(data)) for _, text, _, data in rows} == {("[1]", 1), ("[3]", 100_000), ("[4]", 0)}
         reader.commit(end)
         with pytest.raises(RuntimeError):
             reader.readBetweenOffsets({"n": 0}, end)
     finally:
-        reader.socket.close()
+        reader.close()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import ArrayType, DataType, StructType
 from pyspark.sql.window import Window
 
@@ -65,3 +66,37 @@ def latest(df: DataFrame, by: list[str], seq: str = "ingest_seq") -> DataFrame:
 
 def counts(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def observed(packets: DataFrame, name: str, *, channel: str = "channel", channels: list[str] | None = None) -> DataFrame:
+    """The same packets, of which Spark counts those of each channel and all others as they pass (``Dataset.observe``), without a pass of its own."""
+    known = channels or list(CHANNELS)
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0)).alias
+    named = [n(F.col(channel).eqNullSafe(c))(c) for c in known]
+    return packets.observe(name, *named, n(~F.coalesce(F.col(channel).isin(known), F.lit(False)))("other"))
+
+
+class TopicCounts(StreamingQueryListener):
+    """Counts by channel of each micro-batch of queries over :func:`observed` packets, and their totals. Register it with ``spark.streams.addListener``."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.batches: list[dict[str, int]] = []
+
+    @property
+    def totals(self) -> dict[str, int]:
+        return {c: sum(b[c] for b in self.batches) for c in (self.batches[0] if self.batches else {})}
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None and any(v is not None for v in row.asDict().values()):
+            self.batches.append({k: v or 0 for k, v in row.asDict().items()})
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        pass
