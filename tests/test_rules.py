@@ -107,9 +107,8 @@ def test_recording_requests(spark):
     df = recording.answer_status(spark.createDataFrame(asked, "scene string, request_id int, reference_us long, future_duration_us long, sampling_interval_us long, max_points int, known_revision long"), cached, on=["scene"])
     status = {r.request_id: r.status for r in df.collect()}
     assert status == {1: "ok", 2: "not_modified", 3: "out_of_range", 4: "ok", 5: "no_recording", 6: "ok", 7: "ok", 8: "ok", 9: "ok"}
-    df = df.withColumn("stamps", F.array(*(F.lit(x).cast("long") for x in (0, 10, 20))))
     got = {}
-    for r in recording.answers(df, points, on=["scene"], stamps="stamps").orderBy("stamp_us").collect():
+    for r in recording.answers(df, points, on=["scene"]).orderBy("stamp_us").collect():
         got.setdefault(r.request_id, []).append((r.stamp_us, r.point.position.x, r.point.yaw, r.point.speed))
     assert got[1] == [(5, 5.0, 0.0, 5.0), (10, 10.0, -3.0, 9.0), (15, 20.0, -1.5, 5.0), (20, 30.0, 0.0, 9.0)]
     assert [t for t, *_ in got[4]] == [0] and [t for t, *_ in got[6]] == [0] and [t for t, *_ in got[8]] == [5, 10, 15]
@@ -240,3 +239,27 @@ def test_configurations_have_bounds():
     for bad in ({"future_us": -1}, {"interval_us": -1}, {"max_points": 0}, {"rate_hz": 0}):
         with pytest.raises(ValueError):
             recording.FutureConfig(**bad)
+
+
+def test_native_times_equal_the_walk(spark):
+    rng = random.Random(6)
+    recorded = {g: sorted(rng.sample(range(500), 40)) for g in (1, 2)}
+    asked, want = [], {}
+    for n in range(120):
+        g, most = rng.choice([1, 2]), rng.choice([0, 1, 2, 3, 7, 300])
+        start = rng.choice([recorded[g][rng.randrange(40)], rng.randrange(recorded[g][0], recorded[g][-1])])
+        until = min(recorded[g][-1], start + rng.choice([0, 3, 90, 400]))
+        asked.append((g, n, start, until, most))
+        grid = [t for t in recorded[g] if start <= t <= until]
+        grid = grid if grid and grid[0] == start else [start, *grid]
+        cap = max(most or 256, 1)
+        grid = [*grid, until] if grid[-1] != until and len(grid) < cap else grid
+        last = len(grid) - 1
+        want[n] = grid if len(grid) <= cap else grid[:1] if cap == 1 else [grid[round(i * last / (cap - 1))] for i in range(cap)]
+    requests = spark.createDataFrame(asked, "g int, request_id int, reference_us long, until_us long, max_points int")
+    points = spark.createDataFrame([(g, t) for g, ts in recorded.items() for t in ts], "g int, stamp_us long")
+    for chunk in (20, 10_000):
+        got = {}
+        for r in recording.native_times(requests, points, on=["g"], chunk_us=chunk).collect():
+            got.setdefault(r.request_id, []).append(r.stamp_us)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.geometry import lerp, lerp_vector, nlerp, norm
-from .series import bracket, max_points, native_grid, regular_grid, revisions, thin
+from .series import bracket, max_points, ranked, regular_grid, revisions, thin
 
 
 def increasing(points: Column | str, time: str = "timestamp_us") -> Column:
@@ -103,22 +103,49 @@ def interpolate(rows: DataFrame, time: str = "stamp_us") -> DataFrame:
     return out.select(*rows.columns, F.struct(t.alias("timestamp_us"), *fields).alias("point"))
 
 
-def time_grid(requests: DataFrame, stamps: str | None = None) -> DataFrame:
-    """``grid``: the times of each answer, from sampling_interval_us and max_points. ``stamps``: the column of recorded times, for native grids."""
+def time_grid(requests: DataFrame) -> DataFrame:
+    """``grid``: the times of each answer at regular steps, from sampling_interval_us and max_points."""
     most = max_points("max_points")
-    start, end = F.col("reference_us"), F.col("until_us")
-    grid = regular_grid(start, end, F.col("sampling_interval_us"), most)
-    if stamps:
-        grid = F.when(F.col("sampling_interval_us") > 0, grid).otherwise(native_grid(F.col(stamps), start, end, most))
+    grid = regular_grid(F.col("reference_us"), F.col("until_us"), F.col("sampling_interval_us"), most)
     return requests.withColumn("_all", grid).withColumn("grid", thin(F.col("_all"), most)).drop("_all")
 
 
-def answers(requests: DataFrame, points: DataFrame, *, on: list[str], stamps: str | None = None) -> DataFrame:
+def native_times(requests: DataFrame, points: DataFrame, *, on: list[str], chunk_us: int = 86_400_000_000) -> DataFrame:
+    """on, request_id, reference_us and ``stamp_us``: the recorded times of each request's window, with its ends if they aren't recorded (the later one if there is room), thinned to max_points.
+
+    No request gathers the times of its recording: the places of the first and last one inside say
+    how many there are, and those that stay after thinning are looked up by place.
+    """
+    numbered = ranked(points.select(*on, "stamp_us"), on, "stamp_us", name="place", chunk=chunk_us)
+    marks = numbered.withColumn("point", F.struct("stamp_us", "place"))
+    at = lambda df, c: df.withColumn("stamp_us", F.col(c))
+    asked = requests.select(*on, "request_id", "reference_us", "until_us", max_points("max_points").alias("most"))
+    asked = bracket(at(asked, "reference_us"), marks, on, chunk_us=chunk_us).withColumnRenamed("after", "first").drop("before", "stamp_us")
+    asked = bracket(at(asked, "until_us"), marks, on, chunk_us=chunk_us).withColumnRenamed("before", "last").drop("after", "stamp_us")
+    inside = F.greatest(F.coalesce(F.col("last.place") - F.col("first.place") + 1, F.lit(0)), F.lit(0))
+    head = ((inside == 0) | (F.col("first.stamp_us") != F.col("reference_us"))).cast("long")
+    end = F.when(inside > 0, F.col("last.stamp_us")).otherwise(F.col("reference_us"))
+    asked = asked.withColumns({"_inside": inside, "_head": head, "_tail": ((end != F.col("until_us")) & (head + inside < F.col("most"))).cast("long")})
+    total, most = F.col("_head") + F.col("_inside") + F.col("_tail"), F.col("most").cast("long")
+    spread = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(most, F.lit(2)) - 1), lambda i: F.rint(i * (total - 1) / (F.greatest(most, F.lit(2)) - 1)).cast("long"))
+    kept = F.when(total <= most, F.sequence(F.lit(0).cast("long"), total - 1)).when(most == 1, F.array(F.lit(0).cast("long"))).otherwise(spread)
+    rows = asked.withColumn("_total", total).select("*", F.explode(kept).alias("_i"))
+    own = F.when((F.col("_i") == 0) & (F.col("_head") == 1), F.col("reference_us")).when((F.col("_i") == F.col("_total") - 1) & (F.col("_tail") == 1), F.col("until_us"))
+    rows = rows.select(*on, "request_id", "reference_us", own.alias("_own"), F.when(own.isNull(), F.col("first.place") + F.col("_i") - F.col("_head")).alias("place"))
+    return rows.join(numbered, [*on, "place"], "left").select(*on, "request_id", "reference_us", F.coalesce("_own", "stamp_us").alias("stamp_us"))
+
+
+def answers(requests: DataFrame, points: DataFrame, *, on: list[str], native: bool = True) -> DataFrame:
     """Points of every request that is ok: request columns, ``stamp_us``, ``offset_us``, ``point``.
 
-    ``points``: on, stamp_us, point. The bracket of each time comes from one scan of the recording.
+    ``points``: on, stamp_us, point. A request whose sampling_interval_us isn't over 0 gets the
+    recorded times (``native``: there may be such). The bracket of each time comes from one scan of
+    the recording.
     """
-    wanted = time_grid(requests.where("status = 'ok'"), stamps)
-    times = wanted.select(*on, "request_id", "reference_us", F.explode("grid").alias("stamp_us"))
+    wanted = requests.where("status = 'ok'")
+    regular = wanted.where("sampling_interval_us > 0") if native else wanted
+    times = time_grid(regular).select(*on, "request_id", "reference_us", F.explode("grid").alias("stamp_us"))
+    if native:
+        times = times.unionByName(native_times(wanted.where("sampling_interval_us <= 0"), points, on=on))
     out = interpolate(bracket(times, points, on))
     return out.withColumn("offset_us", F.col("stamp_us") - F.col("reference_us")).drop("before", "after")

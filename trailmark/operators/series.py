@@ -206,13 +206,6 @@ def regular_grid(start: Column, end: Column, step: Column, most: Column) -> Colu
     return F.when((F.element_at(grid, -1) != end) & (F.size(grid) < most), F.array_append(grid, end)).otherwise(grid)
 
 
-def native_grid(stamps: Column, start: Column, end: Column, most: Column) -> Column:
-    """The recorded times in [start, end], with ``start`` in front if absent, and ``end`` behind if absent and there is room."""
-    inside = F.filter(stamps, lambda t: (t >= start) & (t <= end))
-    first = F.when((F.size(inside) == 0) | (F.get(inside, F.lit(0)) != start), F.concat(F.array(start), inside)).otherwise(inside)
-    return F.when((F.element_at(first, -1) != end) & (F.size(first) < most), F.array_append(first, end)).otherwise(first)
-
-
 def thin(stamps: Column, most: Column) -> Column:
     """At most ``most`` times, evenly by index, ties to even."""
     last = F.size(stamps) - 1

@@ -121,11 +121,7 @@ def gt_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _answers(spark: SparkSession, sf_dir: str, interval_us: int, most: int) -> DataFrame:
     e = adapters.events(spark, sf_dir)
     asked = _requests(spark, sf_dir).withColumns({"sampling_interval_us": F.lit(interval_us), "max_points": F.lit(most)})
-    stamps = None
-    if interval_us <= 0:
-        asked = asked.join(e.groupBy("user_id").agg(F.array_sort(F.collect_list("stamp_us")).alias("stamps")), "user_id")
-        stamps = "stamps"
-    return recording.answers(asked, e.select("user_id", "stamp_us", adapters.motion(e).alias("point")), on=["user_id"], stamps=stamps)
+    return recording.answers(asked, e.select("user_id", "stamp_us", adapters.motion(e).alias("point")), on=["user_id"], native=interval_us <= 0)
 
 
 @query
@@ -416,7 +412,7 @@ def gt_future_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = ticks.ticks(e, 7 * DAY, ["user_id"]).withColumn("request_id", F.col("user_id") * 1000 + F.col("tick"))
     held = e.where("user_id % 11 <> 0").groupBy("user_id").agg(F.lit(1).cast("long").alias("revision"), F.min("stamp_us").alias("start_us"), F.max("stamp_us").alias("end_us"))
     status = recording.answer_status(recording.tick_requests(asked, config), held, on=["user_id"])
-    rows = recording.answers(status, e.select("user_id", "stamp_us", adapters.motion(e).alias("point")), on=["user_id"])
+    rows = recording.answers(status, e.select("user_id", "stamp_us", adapters.motion(e).alias("point")), on=["user_id"], native=config.interval_us <= 0)
     points = rows.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("offset_us", F.col("point.position.x").alias("x")))).alias("points"))  # as many as a request may have
     answered = recording.usable(status.join(points, "request_id", "left"))
     last = F.element_at("points", -1)
