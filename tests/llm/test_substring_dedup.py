@@ -157,3 +157,45 @@ def test_evenly_spread_changes_down_to_least_alike(spark):
     for i, low, high in planted:
         r = got.get((i, i - 1))
         assert r and abs(r.from_word - low) <= 4 and abs(r.to_word - high) <= 4, (i, low, high, r)
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+    return row[-1]
+
+
+def test_changed_passages_whose_parts_occurred_before_are_recalled(spark):
+    """Halves and thirds of a passage come first, each in a text of its own; then the whole, then the whole with changes."""
+    rng = random.Random(16)
+    fresh = lambda n: [f"z{rng.randrange(10**9)}" for _ in range(n)]
+    rows, groups = [], []
+
+    def add(words):
+        before = rng.randrange(40)
+        rows.append((len(rows), fresh(before) + words + fresh(rng.randrange(40))))
+        return len(rows) - 1, before
+
+    for g in range(60):
+        size = rng.choice([60, 60, 75, 90])  # no half of it is a passage of its own
+        p = fresh(size)
+        parts = 2 if g < 40 else 3
+        for k in range(parts):
+            add(p[k * size // parts : (k + 1) * size // parts])
+        whole, changed = add(p)[0], list(p)
+        places = range(6, size, 7) if g < 10 else rng.sample(range(3, size - 3), int(size * rng.choice([0.03, 0.08, 0.13])))
+        for i in places:
+            changed[i] = fresh(1)[0]
+        doc, at = add(changed)
+        groups.append((doc, whole, at, size))
+    texts = dict(rows)
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    found = {(r.doc_id, r.src_id): r for r in got}
+    hit = [(d, w) in found and abs(found[d, w].from_word - at) <= 4 and abs(found[d, w].to_word - at - size) <= 4 for d, w, at, size in groups]
+    assert all(hit[:10]) and sum(hit) >= 0.9 * len(hit)
+    for r in got:  # every row is a passage by a plain alignment, and of a planted pair
+        agree = longest_common(texts[r.src_id][r.src_from : r.src_to], texts[r.doc_id][r.from_word : r.to_word])
+        assert agree >= r.n_agree >= 0.8 * r.n_words >= 40 and (r.doc_id, r.src_id) in {g[:2] for g in groups}

@@ -11,6 +11,9 @@
    gap before it.
 4. *Alignment*: the words of both sides of a chain are aligned between its runs (banded) and
    extended at its ends while they agree; the alignment is kept when it is long and alike enough.
+5. *Second round*: stretches that are full of matches but of which no passage came hold a passage
+   whose parts occurred before, each in another text. These stretches are matched with each other
+   alone: texts that hold but a part aren't among them, so the first occurrence is another whole one.
 """
 
 from __future__ import annotations
@@ -106,6 +109,50 @@ def matches(found: DataFrame) -> DataFrame:
     return found.join(first, ["seed", "size"]).where("doc_id <> src OR at <> src_at").select("src", "doc_id", "src_at", "at", "size")
 
 
+def uncovered(found: DataFrame, passages: DataFrame, *, least: int, gap: int) -> DataFrame:
+    """``doc_id``, ``low``, ``high``: stretches of at least ``least`` words in which matches leave gaps of up to ``gap`` words, without the passages in them."""
+
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        doc, low, high, kept = (rows.column(c).to_numpy() for c in ("doc_id", "low", "high", "kept"))
+        out: list[list[int]] = [[], [], []]
+        edges = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        for first, last in zip(edges, np.append(edges[1:], doc.size), strict=True):
+            own, taken = slice(first, last), []
+            some = kept[own]
+            for a, b in merged(low[own][~some], high[own][~some], gap):
+                free = a
+                for c, d in [*merged(low[own][some], high[own][some], 0), (b, b)]:
+                    if min(c, b) - free >= least:
+                        taken.append((free, min(c, b)))
+                    free = max(free, d)
+            for a, b in taken:
+                for column, value in zip(out, (int(doc[first]), a, b), strict=True):
+                    column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32())], names=["doc_id", "low", "high"])
+
+    spans = found.select("doc_id", F.col("at").alias("low"), (F.col("at") + F.col("size")).alias("high"), F.lit(False).alias("kept"))
+    spans = spans.unionByName(passages.select("doc_id", F.col("from_word").cast("int").alias("low"), F.col("to_word").cast("int").alias("high"), F.lit(True).alias("kept")))
+    keyed = spans.distinct().repartition("doc_id").sortWithinPartitions("doc_id")  # a text's own matches: as many as it has words, a few times
+    return keyed.mapInArrow(lambda batches: by_block(batches, work), "doc_id long, low int, high int")
+
+
+def merged(low: np.ndarray, high: np.ndarray, gap: int) -> list[tuple[int, int]]:
+    """The unions of intervals that lie up to ``gap`` apart, in order."""
+    if not low.size:
+        return []
+    order = np.argsort(low, kind="stable")
+    low, end = low[order], np.maximum.accumulate(high[order])
+    edges = np.flatnonzero(np.append(True, low[1:] > end[:-1] + gap))
+    return list(zip(low[edges].tolist(), end[np.append(edges[1:], low.size) - 1].tolist(), strict=True))
+
+
+def within(found: DataFrame, stretches: DataFrame) -> DataFrame:
+    """The seeds whose words lie in a stretch of their text."""
+    lists = stretches.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("_in"))  # of one text: fewer than its words
+    inside = F.exists("_in", lambda x: (F.col("at") >= x["low"]) & (F.col("at") + F.col("size") <= x["high"]))
+    return found.join(lists, "doc_id").where(inside).drop("_in")
+
+
 def runs_of(src_at: np.ndarray, at: np.ndarray, size: np.ndarray, k: int, most_gap: int = 40) -> np.ndarray:
     """Matches near each other on a diagonal as rows (start in src, start, words, seeds), in the order of start.
 
@@ -333,12 +380,23 @@ def repeated_passages(docs: DataFrame, *, least_words: int = 50, least_alike: fl
 
     Every repeat of ``least_words`` words of which ``least_alike`` agree shares seeds, wherever the
     changes are. An exact one always meets an earlier whole copy. One with changes meets the first
-    texts that hold its seeds of 4, 8 or 20 words (at the defaults): it is missed where other texts,
-    which don't repeat enough of it, held nearly all of these seeds before.
+    texts that hold its seeds of 4, 8 or 20 words (at the defaults); where these hold but parts of
+    it, it meets in the second round the first one whose own passage wasn't found either. Texts of
+    any length are worked on whole, in memory that grows with the text.
     """
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     scales = scales_of(least_words, least_alike)
-    found = matches(seeds(docs, scales))
+    rules = {"least_words": least_words, "least_alike": least_alike}
+    found = stage(matches(seeds(docs, scales)), "matches")
+    first = stage(aligned(docs, found, scales, **rules), "passages")
+    stretches = stage(uncovered(found, first, least=int(least_words * least_alike), gap=most_changes(least_words, least_alike)), "stretches")
+    again = docs.join(stretches.select("doc_id").distinct(), "doc_id", "left_semi")
+    second = aligned(docs, matches(within(seeds(again, scales), stretches)), scales, **rules)
+    return first.unionByName(second).distinct()
+
+
+def aligned(docs: DataFrame, found: DataFrame, scales: list[tuple[int, int]], *, least_words: int, least_alike: float) -> DataFrame:
+    """The passages that the matches ``found`` lead to."""
     links = stage(chained(found, k=scales[0][0], least_words=least_words, least=least_seeds(least_words, least_alike)), "chains")
     low = lambda c: F.greatest(F.col(c) - MARGIN, F.lit(0)).alias("low")
     high = lambda c: (F.col(c) + MARGIN).alias("high")
