@@ -31,7 +31,7 @@ from .ngram_join import by_block
 from .shared import stage
 
 #: Words before and behind a chain that the alignment may extend into.
-MARGIN = 48
+MARGIN = 64
 #: Places of one text that a row asks for, give or take the dealing by hash; a text of more is read by several rows.
 SPANS = 256
 
@@ -63,13 +63,14 @@ def scales_of(least_words: int, least_alike: float) -> list[tuple[int, int]]:
     - *Short*: all runs of the length that even evenly spread changes leave in a passage.
     - *Middle*: minimisers of runs twice and five times as long; their first occurrence is more
       often that of the passage than that of a stock phrase.
-    - *Whole*: all runs of ``least_words`` words, so that an exact repeat meets the first one of
-      its own length, wherever its parts occurred before.
+    - *Whole*: minimisers of runs of three quarters of ``least_words``, one of which any run of
+      ``least_words`` holds, so that an exact repeat meets one of nearly its own length.
     """
     changes = most_changes(least_words, least_alike)
     short = max(1, -(-(least_words - changes) // (changes + 1)))
     middle = [(m * short, max(1, m * short // 2 + m)) for m in (2, 5) if m * short < least_words]
-    return [(k, w) for k, w in ((short, 1), *middle, (least_words, 1)) if k <= least_words]
+    window = least_words // 4 + 1
+    return [(k, w) for k, w in ((short, 1), *middle, (least_words - window + 1, window)) if k <= least_words]
 
 
 def most_changes(least_words: int, least_alike: float) -> int:
@@ -379,9 +380,9 @@ def repeated_passages(docs: DataFrame, *, least_words: int = 50, least_alike: fl
     give no rows.
 
     Every repeat of ``least_words`` words of which ``least_alike`` agree shares seeds, wherever the
-    changes are. An exact one always meets an earlier whole copy. One with changes meets the first
-    texts that hold its seeds of 4, 8 or 20 words (at the defaults); where these hold but parts of
-    it, it meets in the second round the first one whose own passage wasn't found either. Texts of
+    changes are. It meets the first texts that hold its seeds of 4, 8, 20 or 38 words (at the
+    defaults); where these hold but parts of it, it meets in the second round the first one whose
+    own passage wasn't found either. Texts of
     any length are worked on whole, in memory that grows with the text.
     """
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
