@@ -144,14 +144,15 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float
     """Words that the mix takes of each document.
 
     Input columns: doc_id, text, source; others are ignored. Result, a row for each input row:
-    doc_id, source, size, source_size, target, taken. Null and empty texts have size 0 and are
+    doc_id, source, size, source_size, target, taken, first_slot (the first slot of the schedule in
+    which words of it come; null if none do), by which the mix is in its order. Null and empty texts have size 0 and are
     never taken; a null source is a source of its own, behind all others. Rows that repeat a
     doc_id are taken each for itself. No rows give no rows. ``row``: the column that numbers the
     rows, returned as row.
     """
     placed, sources, used = mixture(docs, weights=weights, most=most, block_words=block_words, row=row)
-    taken = used.groupBy("source_key", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    taken = used.groupBy("source_key", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"))
     placed = placed.withColumn("start", F.when(F.col("size") > 0, F.col("start")))  # an empty document begins where the next one does
     if sources.count() <= MOST_BROADCAST:
         sources = F.broadcast(sources)
-    return placed.join(taken, ["source_key", "start"], "left").join(sources, "source_key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), *(["row"] if row else []))
+    return placed.join(taken, ["source_key", "start"], "left").join(sources, "source_key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot", *(["row"] if row else []))

@@ -153,7 +153,8 @@ def links(fps: DataFrame, *, most: int = 2, code: tuple[Block, ...] = CODE, crow
     """Pairs a, b of the distinct fingerprints ``fp`` that differ in 1 to ``most`` bits, each at least once."""
     members = stage(_sent(fps, 0, code, "anchor"), "members")
     crowded = stage(members.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowded")
-    visitors = _sent(fps, most, code, "anchor").withColumnRenamed("fp", "a")
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    visitors = _sent(fps.repartition(parts, "fp"), most, code, "anchor").withColumnRenamed("fp", "a")  # a fingerprint becomes a hundred rows: few files must not mean few tasks
     open_members = members.join(crowded.hint("merge"), "anchor", "left_anti").withColumnRenamed("fp", "b")
     near = visitors.join(open_members.hint("shuffle_hash"), "anchor").where((F.col("a") != F.col("b")) & (_apart("a", "b") <= most)).select("a", "b")
     inner = stage(members.join(crowded.hint("merge"), "anchor", "left_semi").select("fp"), "inner")
