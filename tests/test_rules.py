@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions import codes, geometry, timeutil
 from trailmark.operators import actors, camera, ego, markers, navigation, recording, series, vectormap
+from trailmark.sources import robot
 
 
 def one(spark, expression):
@@ -263,3 +264,15 @@ def test_native_times_equal_the_walk(spark):
         for r in recording.native_times(requests, points, on=["g"], chunk_us=chunk).collect():
             got.setdefault(r.request_id, []).append(r.stamp_us)
         assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_robot_descriptions_are_files(spark, tmp_path):
+    text = '''<?xml version="1.0"?>
+<robot name="r">
+  <link name="base_link"/>
+  <joint name="base_to_wheel" type="fixed"><parent link="base_link"/><child link="wheel"/><origin xyz="2.8 -0.94  0.36" rpy="0 0 1.5"/></joint>
+  <joint name="base_to_body" type="fixed"><parent link="base_link"/><child link="body"/></joint>
+</robot>'''
+    (tmp_path / "r.urdf").write_text(text)
+    rows = robot.joints(robot.read_description(spark, str(tmp_path / "r.urdf"))).orderBy("child").collect()
+    assert [(r.joint, r.kind, r.parent, r.child, r.xyz, r.rpy) for r in rows] == [("base_to_body", "fixed", "base_link", "body", [0.0] * 3, [0.0] * 3), ("base_to_wheel", "fixed", "base_link", "wheel", [2.8, -0.94, 0.36], [0.0, 0.0, 1.5])]

@@ -13,6 +13,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("stamp_us"), F.regexp_extract("props", r"(\d+)", 1).cast("long").alias("k"))
 
 
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same columns, as a stream of the table's files."""
+    path = f"{sf_dir}/events.parquet"
+    e = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")  # a pattern, for a stream takes a file's name for that of a folder
+    return e.select("event_id", "user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("stamp_us"), F.regexp_extract("props", r"(\d+)", 1).cast("long").alias("k"))
+
+
 def vector(x, y, z):
     return F.struct(*(F.lit(v).cast("double").alias(n) for v, n in zip((x, y, z), "xyz", strict=True)))
 

@@ -182,3 +182,5 @@ m AS (SELECT *, list_max(list_filter(every, lambda x: x <= tick_us)) AS latest F
 SELECT user_id, tick, tick_us, q[1] AS reference_us, q[-1] - q[1] AS duration_us, len(q) AS n_points FROM n WHERE len(q) > 0""",
 }
 ORACLE["actor_history_packets"] = f"SELECT event_id, max(actual_us) AS actual_us, count(*) AS n_tracks, 1 AS source, {2 * DAY} AS requested_us, {HOUR12} AS interval_us FROM ({ORACLE['actor_history']}) GROUP BY event_id"
+ORACLE["topic_replay"] = f"""WITH {E} SELECT event_id AS ingest_seq, '{{"user_id":' || user_id || ',"k":' || k || '}}' AS payload, event_type AS channel FROM e WHERE event_type IN ('click', 'view')"""
+ORACLE["gate_replay"] = f"SELECT user_id, event_id, k AS sequence FROM ({ORACLE['nav_gate']}) g JOIN (WITH {E} SELECT event_id, user_id, k FROM e) USING (event_id) WHERE accepted"

@@ -10,7 +10,8 @@ from pyspark.sql.window import Window
 
 from ..functions import codes, geometry, timeutil
 from ..operators import actors, camera, ego, ingest, markers, navigation, recording, series, ticks, vectormap
-from ..sources import framed
+from ..sources import framed, tables
+from ..streaming import stateful
 from . import adapters
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
@@ -512,3 +513,22 @@ def packet_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def finite_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.when(F.col("k") % 7 == 0, F.lit(float("nan"))).when(F.col("k") % 7 == 1, F.lit(float("inf"))).otherwise(F.col("value"))
     return adapters.events(spark, sf_dir).select("event_id", geometry.finite(x).alias("finite"))
+
+
+@query
+def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets of all channels as they were recorded into an append table by a stream, and two channels of it."""
+    path = tables.shared_path(spark, "topic")
+    packets = adapters.events_stream(spark, sf_dir).select(F.col("event_id").alias("ingest_seq"), F.to_json(F.struct("user_id", "k")).alias("payload"), F.col("event_type").alias("channel"))
+    tables.append(packets, path, f"{path}-progress", partition_by=["channel"]).awaitTermination()
+    return tables.topic(spark, path, "ingest_seq long, payload string, channel string", channels=["click", "view"])
+
+
+@query
+def gate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates that the stream's gate lets pass, user by user."""
+    path = tables.shared_path(spark, "gate")
+    k = F.col("k")
+    updates = adapters.events_stream(spark, sf_dir).select("user_id", F.col("event_id").alias("ingest_seq"), k.alias("sequence"), F.col("stamp_us").alias("reference_us"), (k % 9 != 0).alias("valid"))
+    tables.append(stateful.gate(updates, "user_id"), path, f"{path}-progress").awaitTermination()
+    return spark.read.schema("user_id long, ingest_seq long, sequence long").parquet(path).select("user_id", F.col("ingest_seq").alias("event_id"), "sequence")

@@ -5,23 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The joints of the vehicle as child frame, its joint and the x, y, z of its origin; all hang on base_link and don't move.
-VEHICLE = (
-    ("vehicle_body", "base_to_vehicle_body", 0.0, 0.0, 0.0),
-    ("vehicle_cabin", "base_to_vehicle_cabin", 0.0, 0.0, 0.0),
-    ("wheel_front_left", "base_to_wheel_front_left", 2.80, 0.94, 0.36),
-    ("wheel_front_right", "base_to_wheel_front_right", 2.80, -0.94, 0.36),
-    ("wheel_rear_left", "base_to_wheel_rear_left", 0.0, 0.94, 0.36),
-    ("wheel_rear_right", "base_to_wheel_rear_right", 0.0, -0.94, 0.36),
-)
-
-
-def vehicle_description() -> str:
-    """The vehicle's frame tree as XML text."""
-    joint = '<joint name="{1}" type="fixed"><parent link="base_link"/><child link="{0}"/><origin xyz="{2} {3} {4}" rpy="0 0 0"/></joint>'
-    return '<robot name="ego_vehicle">' + "".join(joint.format(*v) for v in VEHICLE) + "</robot>"
-
-
 def read_description(spark: SparkSession, path: str) -> DataFrame:
     """A description file as one row: ``xml``."""
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "xml")

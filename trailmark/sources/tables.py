@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,17 @@ from pyspark.sql import functions as F
 from ..operators.ingest import latest
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); on one machine that names none, in a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="trailmark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def append(stream: DataFrame, path: str, checkpoint: str, *, partition_by: list[str] | None = None, period: str | None = None):
     """A live topic as an append-only Parquet table."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
