@@ -77,7 +77,8 @@ def duplicate_groups(docs: DataFrame, *, block_chars: int = 4096, row: str | Non
     Texts are equal when they are without the characters ``[\\x20\\x09-\\x0D]``; null counts as empty.
     Of equal texts the one with most code points stays, then the smallest doc_id. Result, a row for
     each input row: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space).
-    Of rows that agree in doc_id and text one is kept. Null ids come last. No rows give no rows.
+    Of rows that agree in doc_id and text one is kept. Null ids come last. A long text is as many
+    blocks as it needs, which are rows. No rows give no rows.
     ``row``: the column that numbers the rows, returned as row.
     """
     texts = docs.select(

@@ -147,8 +147,8 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: float
     doc_id, source, size, source_size, target, taken, first_slot (the first slot of the schedule in
     which words of it come; null if none do), by which the mix is in its order. Null and empty texts have size 0 and are
     never taken; a null source is a source of its own, behind all others. Rows that repeat a
-    doc_id are taken each for itself. No rows give no rows. ``row``: the column that numbers the
-    rows, returned as row.
+    doc_id are taken each for itself. Long texts count whole and come
+    in as many blocks as they have. No rows give no rows. ``row``: the column that numbers the rows, returned as row.
     """
     placed, sources, used = mixture(docs, weights=weights, most=most, block_words=block_words, row=row)
     taken = used.groupBy("source_key", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"))

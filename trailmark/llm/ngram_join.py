@@ -377,6 +377,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5) -> DataFrame:
     each input row: doc_id, n_shingles, component_id (smallest doc_id reachable by links). A text
     that is null or has no word has 0 shingles and no link. Rows that repeat a doc_id are one node,
     linked by any of its texts. Rows without doc_id have a component only with rows that have one.
+    A long text is one set, of as many shingles as it has.
     No rows give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")

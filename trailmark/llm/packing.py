@@ -274,7 +274,8 @@ def pack(docs: DataFrame, *, tokenizer: str = "word_bpe_49k.json", capacity: int
 
     Input columns: doc_id, text; others are ignored. Result, a row for each piece: doc_id, piece,
     start, length, ids_crc32, sequence_id, offset. A null or empty text is ``end_id`` alone.
-    Repeated rows are packed as often as they come. No rows give no rows.
+    Repeated rows are packed as often as they come; long texts are as many pieces as they need.
+    No rows give no rows.
     """
     pieces = stage(cut_pieces(docs, tokenizer=tokenizer, capacity=capacity, end_id=end_id), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows

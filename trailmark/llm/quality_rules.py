@@ -101,7 +101,8 @@ def judge(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.15, bucke
     n_dup_lines, n_repeat_words, base_failed (under 10 words, or over a fifth of them in repeated
     windows), score (mean ratio; 0 without words), kept (score >= threshold, and not base_failed),
     and row, the whole input row with whatever columns it has. Null text counts as empty. With no
-    trusted document every score is 0. Repeated rows are judged each for itself. No rows give no rows.
+    trusted document every score is 0. Repeated rows are judged each for itself. Texts of
+    any length are judged whole, as one row. No rows give no rows.
 
     Documents are scored where they are read: no row is shuffled. Verdicts come out of a generator,
     so that a filter on them isn't pushed down into the expressions that they come from.
