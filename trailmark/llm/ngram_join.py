@@ -397,7 +397,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5) -> DataFrame:
     owners = heads.select("doc_id").distinct().join(joined, "doc_id", "left").join(met, "doc_id", "left")
     owners = stage(owners.select("doc_id", F.coalesce("component", "doc_id").alias("component"), *(F.coalesce(c, F.lit(0)).alias(c) for c in met.columns[1:])), "owners")
 
-    rows = shared_tokens(prefix_rows(docs, order, k), "doc_id").join(owners, "doc_id")  # classes stand by their heads from here on
+    members = stage(prefix_rows(docs, order, k), "members")  # read twice: to count a token's documents, and for its rows
+    rows = shared_tokens(members, "doc_id").join(owners, "doc_id")  # classes stand by their heads from here on
     rows = stage(shared_tokens(stage(rows, "owned"), "component"), "prefixes")  # a group that is joined already needs no tree
     shared = rows.groupBy("doc_id").agg(F.count("*").alias("shared"))
     rows = stage(open_rows(rows.join(shared, "doc_id")), "open")
