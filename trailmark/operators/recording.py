@@ -123,13 +123,15 @@ def native_times(requests: DataFrame, points: DataFrame, *, on: list[str], chunk
     asked = bracket(at(asked, "reference_us"), marks, on, chunk_us=chunk_us).withColumnRenamed("after", "first").drop("before", "stamp_us")
     asked = bracket(at(asked, "until_us"), marks, on, chunk_us=chunk_us).withColumnRenamed("before", "last").drop("after", "stamp_us")
     inside = F.greatest(F.coalesce(F.col("last.place") - F.col("first.place") + 1, F.lit(0)), F.lit(0))
-    head = ((inside == 0) | (F.col("first.stamp_us") != F.col("reference_us"))).cast("long")
-    end = F.when(inside > 0, F.col("last.stamp_us")).otherwise(F.col("reference_us"))
-    asked = asked.withColumns({"_inside": inside, "_head": head, "_tail": ((end != F.col("until_us")) & (head + inside < F.col("most"))).cast("long")})
-    total, most = F.col("_head") + F.col("_inside") + F.col("_tail"), F.col("most").cast("long")
+    asked = _once(asked, _inside=inside)
+    within = F.col("_inside") > 0
+    asked = _once(asked, _head=(~within | (F.col("first.stamp_us") != F.col("reference_us"))).cast("long"), _end=F.when(within, F.col("last.stamp_us")).otherwise(F.col("reference_us")))
+    asked = _once(asked, _tail=((F.col("_end") != F.col("until_us")) & (F.col("_head") + F.col("_inside") < F.col("most"))).cast("long"))
+    total, most = F.col("_total"), F.col("most").cast("long")
     spread = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(most, F.lit(2)) - 1), lambda i: F.rint(i * (total - 1) / (F.greatest(most, F.lit(2)) - 1)).cast("long"))
     kept = F.when(total <= most, F.sequence(F.lit(0).cast("long"), total - 1)).when(most == 1, F.array(F.lit(0).cast("long"))).otherwise(spread)
-    rows = asked.withColumn("_total", total).select("*", F.explode(kept).alias("_i"))
+    asked = _once(asked, _total=F.col("_head") + F.col("_inside") + F.col("_tail"))
+    rows = asked.select("*", F.explode(kept).alias("_i"))
     own = F.when((F.col("_i") == 0) & (F.col("_head") == 1), F.col("reference_us")).when((F.col("_i") == F.col("_total") - 1) & (F.col("_tail") == 1), F.col("until_us"))
     rows = rows.select(*on, "request_id", "reference_us", own.alias("_own"), F.when(own.isNull(), F.col("first.place") + F.col("_i") - F.col("_head")).alias("place"))
     return rows.join(numbered, [*on, "place"], "left").select(*on, "request_id", "reference_us", F.coalesce("_own", "stamp_us").alias("stamp_us"))
