@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 
 
@@ -52,6 +53,25 @@ def test_gate_chunks_hand_on_what_the_steps_would():
         assert (tuple(state), back, passed) == want
 
 
+def test_gate_works_on_many_streams_at_once(spark):
+    """Streams of a batch lie one behind the other, and none is a group of its own."""
+    pa = pytest.importorskip("pyarrow")
+    rng, rows, first, want = random.Random(10), [], [], ([], [])
+    for _ in range(400):
+        own = updates(rng, rng.randrange(1, 12))
+        first.append(len(rows))
+        rows += own
+        _, *marks = gate_steps(None, *([r[k] for r in own] for k in (1, 2, 3)))
+        want = tuple(a + b for a, b in zip(want, marks, strict=True))
+    table = pa.table(dict(zip(("ingest_seq", "sequence", "reference_us", "valid"), map(list, zip(*rows, strict=True)), strict=True)))
+    none = np.zeros(len(first), np.int64)
+    assert tuple(x.tolist() for x in navigation._Chunk(table, np.array(first)).marks(none, none, none > 0)) == want
+    df = spark.range(3000).selectExpr("id % 1000 AS g", "id * 1000000 AS ingest_seq", "id % 7 AS sequence", "id AS reference_us", "true AS valid")
+    got = navigation.gate(df, ["g"])
+    assert "FlatMapGroups" not in got._jdf.queryExecution().toString()
+    assert got.count() == 3000
+
+
 def walk(packets, config):
     """Histories of a rollout as a process keeps them: buffers by track, and eviction by any packet's time."""
     buffers, seen, out = {}, {}, {}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import plan_source, route_generator
 from ..functions.geometry import finite
 from .recording import increasing
-from .series import last_values, next_below, segment
+from .series import last_values, next_below, ranked, segment
 
 
 def gate_steps(state: tuple[int, int | None] | None, sequence: list[int], reference: list[int], valid: list[bool]) -> tuple:
@@ -38,79 +41,129 @@ def _nth_true(flags: np.ndarray) -> np.ndarray:
     return np.append(np.minimum.accumulate(np.where(flags, np.arange(n), n)[::-1])[::-1], n)
 
 
+def _apart(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Places of the values in their order, all those of a chunk below those of the chunk before it."""
+    ranks = np.unique(values, return_inverse=True)[1]
+    return ranks - of * (ranks.max(initial=-1) + 1)
+
+
 class _Chunk:
-    """Packets of a chunk of one stream in order, and where each packet that passes whole hands the gate on to.
+    """Packets of chunks of streams in order, and where each packet that passes whole hands the gate on to.
 
     The gate holds what the last packet that passed whole left, so from each such packet on the
-    rest of the chunk is settled: the next to pass whole is the first one of a greater number, or
-    the first one from a fall of time on.
+    rest of its chunk is settled: the next to pass whole is the first one of a greater number, or
+    the first one from a fall of time on. Chunks lie one behind the other (``first``: where each
+    begins) and are worked on at once, so that many short streams cost no more than a long one.
     """
 
-    def __init__(self, group: pa.Table):
-        group = group.sort_by("ingest_seq")
+    def __init__(self, group: pa.Table, first: np.ndarray | None = None):
         self.table = group
         self.seq, self.ref, self.valid = (group.column(c).to_numpy() for c in ("sequence", "reference_us", "valid"))
         self.seq, self.ref, self.valid = self.seq.astype(np.int64), self.ref.astype(np.int64), self.valid.astype(bool)
         n = self.seq.size
+        self.first = np.zeros(1, np.int64) if first is None else first
+        self.end = np.append(self.first[1:], n)
+        self.of = np.repeat(np.arange(self.first.size), self.end - self.first)
         self.following = _nth_true(self.valid)
         whole = np.flatnonzero(self.valid)
-        greater = np.append(whole, n)[next_below(-self.seq[whole])] if whole.size else whole
+        greater = np.append(whole, n)[next_below(_apart(-self.seq[whole], self.of[whole]))] if whole.size else whole
         greater = np.where(self.seq[whole] == 0, np.append(whole, n)[1:], greater)  # number 0 stands for none
-        self.fall = next_below(self.ref)
+        self.fall = next_below(_apart(self.ref, self.of))
         self.next = np.full(n + 1, n)
-        self.next[whole] = np.minimum(greater, self.following[self.fall[whole]])
+        self.next[whole] = self._inside(np.minimum(greater, self.following[self.fall[whole]]), self.of[whole])
 
-    def exits(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What the gate holds at the end, if the packets at ``places`` pass whole: number (0 once time fell and none passed since) and time."""
-        n = self.seq.size
-        jumps, at = [self.next], places
+    def _inside(self, places: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The places, or the size of the whole for those behind their chunk."""
+        return np.where(places < self.end[of], places, self.seq.size)
+
+    @cached_property
+    def jumps(self) -> list[np.ndarray]:
+        """Where 1, 2, 4, ... steps lead."""
+        n, jumps = self.seq.size, [self.next]
         while (jumps[-1][:n] < n).any():
             jumps.append(jumps[-1][jumps[-1]])
-        for jump in reversed(jumps):
+        return jumps
+
+    def exits(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the gate holds at the end, if the packets at ``places`` pass whole: number (0 once time fell and none passed since) and time."""
+        n, at = self.seq.size, places
+        for jump in reversed(self.jumps):
             at = np.where(jump[at] < n, jump[at], at)
-        return np.where(self.fall[at] < n, 0, self.seq[at]), self.ref[at]
+        return np.where(self.fall[at] < self.end[self.of[at]], 0, self.seq[at]), self.ref[at]
+
+    def _fallen(self, down: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For falls of time at ``down``: the packet that passes whole behind each (the size, where none does), and what the gate then holds at the end."""
+        to = self._inside(self.following[down], self.of[down])
+        inside = to < self.seq.size
+        return to, *(np.where(inside, x, 0) for x in self.exits(np.where(inside, to, 0)))
+
+    @cached_property
+    def steps(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places of both ladders' steps, chunk by chunk. Where all steps of a chunk end alike, the last ones suffice."""
+        n, whole = self.seq.size, np.flatnonzero(self.valid)
+        top = np.maximum.accumulate(-_apart(-self.seq[whole], self.of[whole]))
+        up = whole[np.append(True, np.diff(top) > 0)] if whole.size else whole
+        down = np.append(0, np.flatnonzero(np.diff(np.minimum.accumulate(_apart(self.ref, self.of))) < 0) + 1)
+        of_up, of_down = self.of[up], self.of[down]
+        to, *fallen = self._fallen(down)
+        last = np.cumsum(np.bincount(of_down)) - 1  # the last fall of each chunk
+        differs = np.zeros(self.first.size, bool)
+        differs[of_down[to == n]] = True
+        for own, x in zip(self.exits(up), fallen, strict=True):
+            differs[of_up[own != x[last[of_up]]]] = True
+            differs[of_down[x != x[last[of_down]]]] = True
+        final = lambda of: np.append(np.diff(of) > 0, True)[: of.size]
+        return up[differs[of_up] | final(of_up)], down[differs[of_down] | final(of_down)]
 
     def table_row(self) -> list[np.ndarray]:
         """The states to enter with that make a difference, as two ladders: numbers that more and more packets exceed, and times that fall below.
 
         Each step has the place of the packet that passes whole there and what the gate holds at the
-        end. Where all steps end alike, the last ones suffice.
+        end. The ladders of the chunks lie one behind the other.
         """
-        n = self.seq.size
-        whole = np.flatnonzero(self.valid)
-        top = np.maximum.accumulate(self.seq[whole]) if whole.size else whole
-        up = whole[np.append(True, np.diff(top) > 0)] if whole.size else whole
-        low = np.minimum.accumulate(self.ref)
-        down = np.concatenate([[0], np.flatnonzero(np.diff(low) < 0) + 1])
-        to = self.following[down]
-        inside = to < n
-        numbers, times = self.exits(up) if up.size else (up, up)
-        fallen = [np.where(inside, x, 0) for x in self.exits(np.where(inside, to, 0))]
-        if up.size and np.unique(np.concatenate([[numbers, times], [fallen[0][inside], fallen[1][inside]]], axis=1), axis=1).shape[1] == 1 and inside.all():
-            up, numbers, times = up[-1:], numbers[-1:], times[-1:]
-            down, to, fallen = down[-1:], to[-1:], [x[-1:] for x in fallen]
-        return [self.seq[up], up, numbers, times, self.ref[down], to, *fallen]
-
-    def marks(self, number: int, time: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Whether time fell back at each packet, and whether it passed, for the state to enter with."""
-        n = self.seq.size
-        fall = n if time is None else int(np.argmax(np.append(self.ref < time, True)))
-        more = self.following[0] if number == 0 else int(np.argmax(np.append(self.valid & (self.seq > number), True)))
-        at, passed = min(int(more), int(self.following[fall])), []
-        while at < n:
-            passed.append(at)
-            at = int(self.next[at])
-        before = np.searchsorted(np.array(passed, np.int64), np.arange(n), side="left")  # how many have passed whole before each
-        held = np.array([-1, *passed], np.int64)[before]
-        numbers = np.where(held >= 0, self.seq[held], number)
-        back = (held >= 0) & (self.ref < self.ref[held])
-        if time is not None:
-            back |= (held < 0) & (self.ref < time)
-        falls = np.concatenate([[0], np.cumsum(back)])
-        since = falls[:-1] - falls[held + 1] > 0  # time fell, and none has passed whole since
+        up, down = self.steps
+        base = self.first[self.of]
+        to, *fallen = self._fallen(down)
+        return [self.seq[up], up - base[up], *self.exits(up), self.ref[down], np.minimum(to, self.end[self.of[down]]) - base[down], *fallen]
+
+    def marks(self, number: np.ndarray | int, time: np.ndarray | int | None, timed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Whether time fell back at each packet, and whether it passed, for the state to enter each chunk with (``timed``: whether there is a time)."""
+        n, of, first = self.seq.size, self.of, self.first
+        timed = np.full(first.size, time is not None) if timed is None else timed
+        number, time, timed = (np.broadcast_to(x, first.shape)[of] for x in (number, 0 if time is None else time, timed))
+        early = timed & (self.ref < time)
+        fall = np.minimum(_nth_true(early)[first], self.end)
+        more = _nth_true(self.valid & ((number == 0) | (self.seq > number)))[first]
+        passed = np.zeros(n + 1, bool)
+        passed[self._inside(np.minimum(more, self.following[fall]), np.arange(first.size))] = True
+        for jump in reversed(self.jumps):
+            passed[jump[passed]] = True
+        passed = passed[:n]
+        held = np.append(-1, np.flatnonzero(passed))[np.cumsum(passed) - passed]  # the last that passed whole before each
+        own = held >= first[of]
+        numbers = np.where(own, self.seq[held], number)
+        back = np.where(own, self.ref < self.ref[held], early)
+        falls = np.append(0, np.cumsum(back))
+        since = falls[:-1] - falls[np.where(own, held + 1, first[of])] > 0  # time fell, and none has passed whole since
         return back, back | since | (numbers == 0) | (self.seq > numbers)
 
 
+def _whole_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted batches as tables of whole chunks, and where each of these begins (``_at`` is 0); what a batch breaks off is held back."""
+    held: list[pa.RecordBatch] = []
+    starts = lambda rows: np.flatnonzero(rows.column("_at").to_numpy() == 0)
+    for batch in batches:
+        own = np.flatnonzero(batch.column("_at").to_numpy(zero_copy_only=False) == 0)
+        if own.size and held or own.size > 1:
+            table = pa.Table.from_batches([*held, batch.slice(0, own[-1])])
+            yield table, starts(table)
+            held = []
+        held.append(batch.slice(own[-1]) if own.size else batch)
+    if held and sum(b.num_rows for b in held):
+        table = pa.Table.from_batches(held)
+        yield table, starts(table)
+
+
 #: Lists of :meth:`_Chunk.table_row`.
 _LADDERS = ("up", "up_at", "up_number", "up_time", "down", "down_at", "down_number", "down_time")
 
@@ -133,45 +186,60 @@ def gate(updates: DataFrame, by: list[str], *, chunk: int = 200_000) -> DataFram
 
     A stream of any length is many tasks: each chunk tells how it hands on whatever state it is
     entered with, a row a chunk meets in a chain that says which state that is, and then each chunk
-    marks its packets. :func:`gate_steps` is the rule itself.
+    marks its packets. Streams of any number are batches: a chunk is a number of rows of a stream,
+    and a batch holds the chunks of many. :func:`gate_steps` is the rule itself.
     """
     names = [f"_by_{c}" for c in by]
     kinds = dict(updates.dtypes)
     keys = ", ".join(f"`{n}` {kinds[c]}" for c, n in zip(by, names, strict=True))
-    work = updates.select(*(F.col(c).alias(n) for c, n in zip(by, names, strict=True)), "ingest_seq", "sequence", "reference_us", "valid", F.floor(F.col("ingest_seq") / chunk).alias("_chunk"))
+    slim = updates.select(*(F.col(c).alias(n) for c, n in zip(by, names, strict=True)), "ingest_seq", "sequence", "reference_us", "valid")
+    place = F.col("_rank") - 1
+    work = ranked(slim, names, "ingest_seq", name="_rank").withColumns({"_chunk": F.floor(place / chunk), "_at": place % chunk})
     lists = ", ".join(f"{c} array<long>" for c in _LADDERS)
-
-    def transfer(group: pa.Table) -> pa.Table:
-        own = _Chunk(group)
-        out = own.table.select([*names, "_chunk"]).slice(0, 1).append_column("n", pa.array([own.seq.size], pa.int64()))
-        for c, values in zip(_LADDERS, own.table_row(), strict=True):
-            out = out.append_column(c, pa.array([values.astype(np.int64)], pa.list_(pa.int64())))
-        return out
-
-    def chain(group: pa.Table) -> pa.Table:
-        group = group.sort_by("_chunk")
-        state, entered = (0, None), []
-        for k in range(group.num_rows):
-            entered.append(state)
-            row = {c: group.column(c)[k].values.to_numpy() for c in _LADDERS} | {"n": group.column("n")[k].as_py()}
-            state = _enter(row, *state)
-        out = group.select([*names, "_chunk"]).rename_columns([*names, "_at"])
-        return out.append_column("_number", pa.array([int(s) for s, _ in entered], pa.int64())).append_column("_time", pa.array([None if t is None else int(t) for _, t in entered], pa.int64()))
-
-    def mark(group: pa.Table) -> pa.Table:
-        own = _Chunk(group)
-        back, passed = own.marks(group.column("_number")[0].as_py(), group.column("_time")[0].as_py())
-        return own.table.select([*names, "ingest_seq", "sequence", "reference_us", "valid"]).append_column("rollback", pa.array(back)).append_column("accepted", pa.array(passed))
-
-    tables = work.groupBy(*names, "_chunk").applyInArrow(transfer, f"{keys}, _chunk long, n long, {lists}")
-    entries = tables.groupBy(*names).applyInArrow(chain, f"{keys}, _at long, _number long, _time long")
-    entries = entries.select(*(F.col(n).alias(f"{n}_") for n in names), "_at", "_number", "_time")
-    same = F.col("_chunk") == F.col("_at")
+    ordered = lambda rows: rows.repartition(*names, "_chunk").sortWithinPartitions(*names, "_rank")
+
+    def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, first in _whole_chunks(batches):
+            own = _Chunk(table, first)
+            out = table.select([*names, "_chunk"]).take(pa.array(first)).append_column("n", pa.array(own.end - first, pa.int64()))
+            ends = [np.append(0, np.cumsum(np.bincount(own.of[x], minlength=first.size))).astype(np.int32) for x in own.steps]
+            for c, values in zip(_LADDERS, own.table_row(), strict=True):
+                out = out.append_column(c, pa.ListArray.from_arrays(ends[c.startswith("down")], pa.array(values.astype(np.int64))))
+            yield from out.to_batches()
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, state = None, (0, None)
+        for batch in batches:
+            rows, entered = [], []
+            for k, number in enumerate(batch.column("_chunk").to_pylist()):
+                if number == 0:
+                    state = (0, None)
+                else:
+                    held, i = before
+                    state = _enter({c: held.column(c)[i].values.to_numpy() for c in _LADDERS} | {"n": held.column("n")[i].as_py()}, *state)
+                    rows.append(k)
+                    entered.append(state)
+                before = batch, k
+            out = pa.Table.from_batches([batch]).select([*names, "_chunk"]).take(pa.array(rows, pa.int64())).rename_columns([*names, "_behind"])
+            out = out.append_column("_number", pa.array([int(s) for s, _ in entered], pa.int64())).append_column("_time", pa.array([None if t is None else int(t) for _, t in entered], pa.int64()))
+            yield from out.to_batches()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, first in _whole_chunks(batches):
+            own, at = _Chunk(table, first), pa.array(first)
+            number, time = (table.column(c).take(at) for c in ("_number", "_time"))
+            back, passed = own.marks(number.fill_null(0).to_numpy(), time.fill_null(0).to_numpy(), time.is_valid().to_numpy())
+            yield from table.select([*names, "ingest_seq", "sequence", "reference_us", "valid"]).append_column("rollback", pa.array(back)).append_column("accepted", pa.array(passed)).to_batches()
+
+    tables = ordered(work).mapInArrow(transfer, f"{keys}, _chunk long, n long, {lists}")
+    entries = tables.repartition(*names).sortWithinPartitions(*names, "_chunk").mapInArrow(chain, f"{keys}, _behind long, _number long, _time long")
+    entries = entries.select(*(F.col(n).alias(f"{n}_") for n in names), "_behind", "_number", "_time")
+    same = F.col("_chunk") == F.col("_behind")
     for n in names:
         same &= F.col(n).eqNullSafe(F.col(f"{n}_"))
-    entered = work.join(entries, same).select(*work.columns, "_number", "_time")
+    entered = work.join(entries, same, "left").select(*work.columns, "_number", "_time")  # a stream's first chunk has none
     rest = ", ".join(f"{c} {kinds[c]}" for c in ("ingest_seq", "sequence", "reference_us", "valid"))
-    out = entered.groupBy(*names, "_chunk").applyInArrow(mark, f"{keys}, {rest}, rollback boolean, accepted boolean")
+    out = ordered(entered).mapInArrow(mark, f"{keys}, {rest}, rollback boolean, accepted boolean")
     return out.select(*(F.col(n).alias(c) for c, n in zip(by, names, strict=True)), "ingest_seq", "sequence", "reference_us", "valid", "rollback", "accepted")
 
 
