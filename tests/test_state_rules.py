@@ -121,6 +121,20 @@ def test_another_tracks_packet_evicts(spark):
     assert last(packets.where("ingest_seq <> 1"))["a"] == [0, 10_000_000]  # no packet came while it was stale
 
 
+def test_histories_of_dense_packets_join_by_equality_alone(spark):
+    """A packet meets the tracks of its slot, not all their rows; and lists are thinned together."""
+    config = actors.ActorConfig(history_us=30, period_us=4, stale_us=1000, max_points=5)
+    df = spark.range(900).selectExpr("1 AS g", "id AS ingest_seq", "id AS ref_us", "cast(id % 3 AS string) AS track_id", "id AS stamp_us")
+    out = actors.history(df, df.select("g", "ingest_seq", "ref_us"), config, by=["g"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x and "_slot" in x]
+    assert joins and not [x for x in joins if ">=" in x] and "aggregate(" not in plan
+    got = {(r.ingest_seq, r.track_id): [p.t for p in r.points] for r in out.collect()}
+    assert len(got) == 900 * 3 - 3 and got[899, "2"][-1] == 899  # the first packet sees one track, the second two
+    nothing = spark.createDataFrame([(None,), ([],), ([(1,), (2,), (9,)],)], "p array<struct<t: long>>")
+    assert [r.q and [x.t for x in r.q] for r in nothing.select(series.downsample("p", "t", 4, 2).alias("q")).collect()] == [None, [], [1, 9]]
+
+
 def test_records_tell_what_is_missing_at_any_depth(spark):
     zero, w = {"x": 0, "y": 0, "z": 0}, {"x": 0, "y": 0, "z": 0, "w": 1}
     vectors = ("linear_velocity", "angular_velocity", "linear_acceleration", "angular_acceleration")

@@ -86,22 +86,26 @@ def history(rows: DataFrame, packets: DataFrame, config: ActorConfig, *, by: lis
     time, so a track that comes again after one has lost its samples. ``meta``: columns of ``rows``, returned as they are
     in the newest sample inside the history.
 
-    Packets meet the tracks that they may see by slots of the stale time: a track is in two at most.
+    Packets meet the tracks that they may see by slots of the stale time: a track is in two at most
+    for each time that it is seen. Which of its rows a packet sees is told by one scan of both in
+    their order, so that no packet meets all rows of a slot.
     """
     by, meta = by or [], meta or []
     of_track = Window.partitionBy(*by, "track_id").orderBy("ingest_seq")
     seen = rings(rows, packets, config, by=by, time=time, meta=meta).withColumn("_next", F.lead("ingest_seq").over(of_track))
     width = max(config.stale_us, 1)
-    slots = F.array_distinct(F.array(_slot(F.col("ref_us"), width), _slot(F.col("ref_us") + config.stale_us, width)))
-    spans = seen.select(*by, "track_id", F.col("ingest_seq").alias("_from"), "_next", F.col("ref_us").alias("last_seen_us"), "ring", F.explode(slots).alias("_slot"))
-    on = (F.col("p._slot") == F.col("s._slot")) & (F.col("p.ingest_seq") >= F.col("s._from")) & (F.col("s._next").isNull() | (F.col("p.ingest_seq") < F.col("s._next"))) & (F.col("p.ref_us") - F.col("s.last_seen_us") <= config.stale_us)
-    for c in by:
-        on &= F.col(f"p.{c}") == F.col(f"s.{c}")
-    joined = packets.withColumn("_slot", _slot(F.col("ref_us"), width)).alias("p").join(spans.alias("s"), on)
-    inside = F.filter("s.ring", lambda x: (x["t"] >= F.col("p.ref_us") - config.history_us) & (x["t"] <= F.col("p.ref_us")))
-    out = joined.select(*(F.col(f"p.{c}").alias(c) for c in by), F.col("p.ingest_seq").alias("ingest_seq"), F.col("p.ref_us").alias("ref_us"), "s.track_id", "s.last_seen_us", inside.alias("_inside"))
+    slots = F.explode(F.array_distinct(F.array(_slot(F.col("ref_us"), width), _slot(F.col("ref_us") + config.stale_us, width)))).alias("_slot")
+    spans = seen.where("_next IS NULL OR _next > ingest_seq").select(*by, "track_id", "ingest_seq", F.lit(None).cast("long").alias("ref_us"), F.struct("_next", F.col("ref_us").alias("last_seen_us"), "ring").alias("_span"), slots)
+    placed = packets.select(*by, "ingest_seq", "ref_us", _slot(F.col("ref_us"), width).alias("_slot"))
+    pairs = placed.join(rows.select(*by, "track_id", slots).distinct(), [*by, "_slot"])
+    both = spans.withColumn("_packet", F.lit(False)).unionByName(pairs.withColumns({"_packet": F.lit(True), "_span": F.lit(None).cast(spans.schema["_span"].dataType)}))
+    scan = Window.partitionBy(*by, "track_id", "_slot").orderBy("ingest_seq", "_packet").rowsBetween(Window.unboundedPreceding, 0)
+    joined = both.withColumn("s", F.last("_span", ignorenulls=True).over(scan))
+    joined = joined.where(F.col("_packet") & (F.col("s._next").isNull() | (F.col("ingest_seq") < F.col("s._next"))) & (F.col("ref_us") - F.col("s.last_seen_us") <= config.stale_us))
+    inside = F.filter("s.ring", lambda x: (x["t"] >= F.col("ref_us") - config.history_us) & (x["t"] <= F.col("ref_us")))
+    out = joined.select(*by, "ingest_seq", "ref_us", "track_id", "s.last_seen_us", inside.alias("_inside"))
     out = out.where(F.size("_inside") > 0).withColumns({"valid": F.array_sort("_inside"), **{c: F.element_at("_inside", -1)[c] for c in meta}}).drop("_inside")
-    out = out.withColumn("points", downsample("valid", "t", config.period_us, config.max_points)).where(F.size("points") > 0)
+    out = out.withColumn("points", downsample("valid", "t", config.period_us, config.max_points))
     return out.withColumn("actual_us", F.greatest(F.col("ref_us") - F.get("points", F.lit(0))["t"], F.lit(0))).withColumn("source", F.lit(ACTOR_SOURCES["HISTORY"]))
 
 
@@ -122,7 +126,7 @@ def future(rows: DataFrame, config: ActorConfig, *, points: str = "available_fut
     ref = F.col("ref_us")
     inside = F.filter(F.coalesce(F.col(points), F.array().cast(rows.schema[points].dataType)), lambda p: (p[time] >= ref) & (p[time] <= ref + config.future_us))
     out = rows.withColumn("_sorted", F.array_sort(inside, lambda a, b: F.when(a[time] < b[time], -1).when(a[time] > b[time], 1).otherwise(0)))
-    out = out.withColumn("points", downsample("_sorted", time, config.period_us, config.max_points)).where(F.size("points") > 0).drop("_sorted")
+    out = out.where(F.size("_sorted") > 0).withColumn("points", downsample("_sorted", time, config.period_us, config.max_points)).drop("_sorted")
     actual: Column = F.greatest(F.element_at("points", -1)[time] - ref, F.lit(0))
     return out.withColumns({"actual_us": actual, "source": F.lit(ACTOR_SOURCES["FUTURE"]), "producer": F.lit(config.producer), "is_model_generated": F.lit(False)})
 

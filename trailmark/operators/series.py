@@ -62,19 +62,36 @@ def _all_same(before: dict[str, Column], row: dict[str, Column], key: list[str])
     return same
 
 
+def _thinned(times: pa.ListArray, period_us: int, most: int) -> pa.ListArray:
+    """The places that :func:`downsample` keeps of each list, a place of all lists at a time."""
+    ends, flat = times.offsets.to_numpy(), times.values.fill_null(0).to_numpy()
+    long = np.argsort(-np.diff(ends), kind="stable")  # the longest first, so that those with a place lie ahead
+    start, size = ends[:-1][long], np.diff(ends)[long]
+    keep, count, last = np.zeros(flat.size, bool), np.zeros(size.size, np.int64), np.zeros(size.size, np.int64)
+    for place in range(size.max(initial=0)):
+        live = int(np.searchsorted(-size, -place, side="left"))
+        t = flat[start[:live] + place]
+        take = (count[:live] < most) & ((place == 0) | (t - last[:live] >= period_us))
+        keep[start[:live][take] + place] = True
+        last[:live] = np.where(take, t, last[:live])
+        count[:live] += take
+    final = (start + size - 1)[size > 0]
+    keep[final[(count[size > 0] < most) & (flat[final] != last[size > 0])]] = True
+    at = np.flatnonzero(keep)
+    row = np.searchsorted(ends, at, side="right") - 1
+    offsets = np.append(0, np.cumsum(np.bincount(row, minlength=len(times)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array((at - ends[row]).astype(np.int32)), mask=times.is_null())
+
+
 def downsample(points: Column | str, time: str, period_us: int, most: int) -> Column:
     """Thin an array of point structs sorted by ``time``: keep the first, then each at least ``period_us`` behind the last kept, then the final one if there is room."""
     points = _c(points)
-    indexed = F.transform(points, lambda p, i: F.struct(p[time].alias("t"), i.alias("i")))
-    start = F.struct(F.array().cast("array<int>").alias("kept"), F.lit(None).cast("long").alias("last"))
-    take = lambda acc, p: (F.size(acc["kept"]) < most) & (acc["last"].isNull() | (p["t"] - acc["last"] >= period_us))
-    step = lambda acc, p: F.struct(
-        F.when(take(acc, p), F.array_append(acc["kept"], p["i"])).otherwise(acc["kept"]).alias("kept"), F.when(take(acc, p), p["t"]).otherwise(acc["last"]).alias("last")
-    )
-    final = F.element_at(points, -1)[time]
-    close = lambda acc: F.when((F.size(acc["kept"]) < most) & (acc["last"] != final), F.array_append(acc["kept"], F.size(points) - 1)).otherwise(acc["kept"])
-    kept = F.aggregate(indexed, start, step, close)
-    return F.when(F.size(points) == 0, points).otherwise(F.transform(kept, lambda i: F.get(points, i)))
+
+    @F.arrow_udf("array<int>")
+    def kept(times: pa.Array) -> pa.Array:
+        return _thinned(times, period_us, most)
+
+    return F.transform(kept(F.transform(points, lambda p: p[time])), lambda i: F.get(points, i))
 
 
 def _next_kept(stamps: np.ndarray, interval_us: int) -> np.ndarray:
