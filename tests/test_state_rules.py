@@ -197,6 +197,28 @@ def test_layer_arrays_equal_a_dictionary_of_markers(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_layer_snapshots_are_the_last_arrays(spark):
+    """Runs of any length across chunks, removals and layers that come again; and messages are scanned once."""
+    rng, rows, want = random.Random(14), [], {}
+    for g in range(40):
+        latest, n = {}, rng.randrange(1, 60)
+        for seq in range(n):
+            layer, action = rng.randrange(1, 4), "ADD" if rng.random() < rng.choice([0.4, 0.97]) else "DELETE"
+            rows.append((g, seq, layer, action, seq * 10))
+            latest[layer] = (action, seq * 10)
+            want[g] = [(seq, at, k, *m) for at, (k, m) in enumerate(latest.items())]
+            if action == "DELETE":
+                del latest[layer]
+    df = spark.createDataFrame(rows, "g int, seq long, marker_id int, action string, n_points int")
+    for chunk in (1, 4, 17, 1000):
+        out = navigation.layer_snapshot(df, by=["g"], chunk=chunk)
+        got = {}
+        for r in sorted(tuple(r) for r in out.collect()):
+            got.setdefault(r[0], []).append(r[1:])
+        assert got == want
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_last_values_across_chunks(spark):
     rng = random.Random(13)
     rows = [(i % 2, i, rng.choice("abc"), i * 10 if rng.random() < 0.9 else None) for i in range(120)]

@@ -9,11 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.codes import plan_source, route_generator
 from ..functions.geometry import finite
 from .recording import increasing
-from .series import last_values, next_below, ranked, segment
+from .series import CHUNK, last_values, next_below, ranked, segment
 
 
 def gate_steps(state: tuple[int, int | None] | None, sequence: list[int], reference: list[int], valid: list[bool]) -> tuple:
@@ -356,3 +357,25 @@ def layer_arrays(messages: DataFrame, layers: list[int], *, by: list[str], seq:
     ordered = F.array_sort(F.filter(F.array(*names), stands), lambda a, b: F.when(a["_place"] < b["_place"], -1).when(a["_place"] > b["_place"], 1).otherwise(0))
     out = held.select(*by, seq, F.posexplode(ordered).alias("at", "m"))
     return out.select(*by, seq, "at", *(F.col(f"m.{c}").alias(c) for c in marker))
+
+
+def layer_snapshot(messages: DataFrame, *, by: list[str], seq: str = "seq", chunk: int = CHUNK) -> DataFrame:
+    """The last array of :func:`layer_arrays` for each ``by``, without those before it.
+
+    Messages are scanned once, in chunks: each leaves for a layer its last message and since when that
+    stands. Where it stands since the chunk began, the chunk before it tells, in a window of a row a chunk.
+    """
+    own, marker = [*by, "marker_id"], [c for c in messages.columns if c not in (*by, "marker_id", seq)]
+    inside, chunks, last = Window.partitionBy(*own, "_chunk").orderBy(seq), Window.partitionBy(*own).orderBy("_chunk"), F.col("_last")
+    added, before = F.col("action") == "ADD", F.coalesce(F.col("_before") == "ADD", F.lit(False))
+    work = messages.withColumn("_chunk", F.floor(F.col(seq) / chunk)).withColumn("_before", F.lag("action").over(inside))
+    start = F.max(F.when(added & ~before, F.col(seq))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    work = work.withColumn("_since", F.when(added | before, start).otherwise(F.col(seq)))
+    ends = work.groupBy(*own, "_chunk").agg(F.max_by(F.struct(seq, "_since", *marker), seq).alias("_last"), F.min(seq).alias("_first"))
+    ends = ends.withColumn("_linked", (last["_since"] == F.col("_first")) & F.coalesce(F.lag(last["action"]).over(chunks) == "ADD", F.lit(False)))
+    ends = ends.withColumn("_place", F.last(F.when(~F.col("_linked"), last["_since"]), ignorenulls=True).over(chunks.rowsBetween(Window.unboundedPreceding, 0)))
+    layers = ends.groupBy(*own).agg(F.max_by(F.struct("_place", "_last"), "_chunk").alias("_m")).select(*own, "_m._place", "_m._last.*")
+    newest = layers.withColumn("_newest", F.max(seq).over(Window.partitionBy(*by)))
+    stands = newest.where((F.col("action") == "ADD") | (F.col(seq) == F.col("_newest")))
+    at = F.row_number().over(Window.partitionBy(*by).orderBy("_place")) - 1
+    return stands.select(*by, F.col("_newest").alias(seq), at.alias("at"), *(c for c in messages.columns if c not in (*by, seq)))

@@ -340,24 +340,22 @@ def navigation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(F.col("ingest_seq").alias("event_id"), "section", "marker_id", "ns", "frame", "action", "width", F.size("line").alias("n_points"), "color.g", r6(z).alias("z"))
 
 
-def _line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrays of ten viewers; a packet's route comes before its plan."""
+def _viewer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of ten viewers; a packet's route comes before its plan."""
     seq = F.col("ingest_seq") * 2 + (F.col("section") == "plan").cast("int")
-    rows = _lines(spark, sf_dir).where("section <> 'model_input'").select((F.col("ingest_seq") % 10).alias("viewer"), seq.alias("seq"), "marker_id", "ns", "frame", "action", F.size("line").alias("n_points"))
-    return navigation.layer_arrays(rows, [i for i, *_ in markers.NAVIGATION_LAYERS.values()], by=["viewer"])
+    return _lines(spark, sf_dir).where("section <> 'model_input'").select((F.col("ingest_seq") % 10).alias("viewer"), seq.alias("seq"), "marker_id", "ns", "frame", "action", F.size("line").alias("n_points"))
 
 
 @query
 def navigation_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines that go out with each message."""
-    return _line_arrays(spark, sf_dir)
+    return navigation.layer_arrays(_viewer_lines(spark, sf_dir), [i for i, *_ in markers.NAVIGATION_LAYERS.values()], by=["viewer"])
 
 
 @query
 def navigation_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The array that is retained for each viewer: what went out last, of which removed layers are no part."""
-    arrays = _line_arrays(spark, sf_dir)
-    return arrays.join(arrays.groupBy("viewer").agg(F.max("seq").alias("seq")), ["viewer", "seq"])
+    return navigation.layer_snapshot(_viewer_lines(spark, sf_dir), by=["viewer"])
 
 
 def _maps(spark: SparkSession, sf_dir: str) -> DataFrame:
