@@ -1,10 +1,15 @@
 import random
+import tempfile
+import time
+from pathlib import Path
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from trailmark.llm.substring_dedup import ReachTree, align, chains, common_words, minimisers, repeated_passages
+from trailmark.llm.arrowtext import window_hashes
+from trailmark.llm.shared import clear, stage
+from trailmark.llm.substring_dedup import ReachTree, align, chains, common_words, in_stretches, loosened, matches, minimisers, narrow, repeated_passages, run_hashes, scales_of, seeds, squeezed, wide
 
 
 @settings(max_examples=100, deadline=None)
@@ -199,3 +204,76 @@ def test_changed_passages_whose_parts_occurred_before_are_recalled(spark):
     for r in got:  # every row is a passage by a plain alignment, and of a planted pair
         agree = longest_common(texts[r.src_id][r.src_from : r.src_to], texts[r.doc_id][r.from_word : r.to_word])
         assert agree >= r.n_agree >= 0.8 * r.n_words >= 40 and (r.doc_id, r.src_id) in {g[:2] for g in groups}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=60), st.integers(1, 45))
+def test_hashes_by_doubling_equal_the_plain_ones(own, k):
+    own = np.array(own, np.uint64)
+    want = window_hashes(own, np.array([0, own.size]), k)[0]
+    assert run_hashes(own, k).tolist() == (want.tolist() if own.size >= k else [])
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=50))
+def test_packed_numbers_come_back(column):
+    assert loosened(squeezed(np.array(column, np.int64)), len(column)).tolist() == column
+
+
+def test_word_hashes_in_five_bytes():
+    own = np.random.default_rng(1).integers(0, 2**64, 100, np.uint64)
+    assert len(narrow(own[3:])) == 5 * 97 and (wide(narrow(own[3:])) == own[3:] % 2**40).all() and wide(b"").size == 0
+
+
+def test_a_cleared_table_is_empty(spark):
+    kept = stage(spark.range(1000).repartition(3), "kept", release=True)
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    clear(kept)
+    assert spark.read.parquet(folder).count() == 0
+
+
+def test_words_in_stretches():
+    lists = [[{"low": 10, "high": 20}, {"low": 2, "high": 5}], [], [{"low": 0, "high": 9}]]
+    document, at = np.array([0, 0, 0, 0, 1, 2, 2]), np.array([1, 2, 10, 18, 2, 0, 7])
+    assert in_stretches(document, at, 3, lists).tolist() == [False, True, True, False, False, True, False]
+    assert not in_stretches(document, at, 3, [[], [], []]).any()
+
+
+def test_matches_equal_a_plain_loop(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(-50, 50) << 40 if i % 9 else None, " ".join(f"w{rng.randrange(6)}" for _ in range(rng.randrange(90)))) for i in range(80)]
+    rows = [r for r in rows if r[0] is not None] + [(7, None), (8, ""), (9, "w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got, want = set(), set()
+    for r in matches(docs, [(4, 1), (6, 1)]).collect():
+        columns = [loosened(bytes(x), r.n).tolist() for x in (r.docs, r.places, r.srcs, r.src_places)]
+        got |= {(r["size"], *x) for x in zip(*columns, strict=True)}
+    for k in (4, 6):
+        places = {}
+        for i, text in rows:
+            own = (text or "").split()
+            for at in range(len(own) - k + 1):
+                places.setdefault(tuple(own[at : at + k]), set()).add((i, at))
+        want |= {(k, *x, *min(own)) for own in places.values() for x in own if x != min(own)}
+    assert got == want and want
+
+
+def test_packed_seeds_are_small(spark):
+    """A seed takes under 10 bytes in the shuffle, where a row of its own took over 20."""
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(f"z{rng.randrange(10**6)}" for _ in range(500))) for i in range(2000)], "doc_id long, text string").coalesce(1)
+    n, size = 0, 0
+    for r in seeds(docs, scales_of(50, 0.8)[:1], 256).collect():
+        n, size = n + r.n, size + len(r.hashes) + len(r.docs) + len(r.places)
+    assert n == 2000 * 497 and size < 10 * n
+
+
+def test_shuffle_files_go_with_their_table(spark):
+    files = lambda: {p for p in Path(spark.conf.get("spark.local.dir", tempfile.gettempdir())).glob("blockmgr-*/*/shuffle_*.data")}
+    before = files()
+    kept = stage(spark.range(1000).repartition(3), "kept", release=True)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 1000
